@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tierweave.functions import discounted, money
 from tierweave.operators.cleaning import bronze_cast, normal_ticket_events
 from tierweave.sources.lookups import static_lookups
-from tierweave.sources.readers import read_parquet_table
+from tierweave.sources.readers import read_parquet_table, spread
 
 # Event type -> ticket status; order priority -> payment method as typed at the counter.
 EVENT_STATUS = {"purchase": "paid", "error": "cancelled", "signup": "refunded"}
@@ -40,7 +40,7 @@ def _at(text: str) -> Column:
 
 
 def _sold_lines(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "lineitem").withColumn("ticket_id", _ticket_key())
+    lines = spread(table(spark, folder, "lineitem")).withColumn("ticket_id", _ticket_key())
     orders = table(spark, folder, "orders")
     suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
     nations = table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
@@ -185,14 +185,21 @@ def sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 def source_tickets(spark: SparkSession, folder: str) -> DataFrame:
     """Raw ticket events in source form: a booking per line item, then its cancellation and refund."""
+    steps = (
+        F.when(F.col("l_returnflag") == "R", F.array(F.lit(1), F.lit(2), F.lit(3)))
+        .when(F.col("l_returnflag") == "A", F.array(F.lit(1), F.lit(2)))
+        .otherwise(F.array(F.lit(1)))
+    )
     booked = F.when(F.col("o_orderstatus") == "O", " UNPAID ").otherwise("Paid")
-    steps = F.array(
-        _step(1, F.col("o_orderdate"), booked),
-        F.when(_cancel_time().isNotNull(), _step(2, _cancel_time(), F.lit("Cancelled "))),
-        F.when(_refund_time().isNotNull(), _step(3, _refund_time(), F.lit("refunded"))),
+    status = F.when(F.col("_id") == 1, booked).when(F.col("_id") == 2, "Cancelled ").otherwise("refunded")
+    moment = (
+        F.when(F.col("_id") == 1, F.col("o_orderdate"))
+        .when(F.col("_id") == 2, _cancel_time())
+        .otherwise(_refund_time())
     )
     method = F.create_map(*[F.lit(x) for pair in PRIORITY_METHOD.items() for x in pair])
-    lines = _sold_lines(spark, folder).select(
+    return _sold_lines(spark, folder).withColumn("_id", F.explode(steps)).select(
+        "_id",
         F.concat(F.lit(" TKT-"), "ticket_id").alias("ticket_id"),
         (F.col("l_suppkey") + 1).cast("int").alias("route_id"),
         (F.col("o_custkey") + 1).cast("int").alias("passenger_id"),
@@ -214,14 +221,8 @@ def source_tickets(spark: SparkSession, folder: str) -> DataFrame:
             F.lit(None).cast("string").alias("provider"),
         ).alias("payment"),
         F.lit(None).cast("array<string>").alias("addons"),
-        F.array_compact(steps).alias("steps"),
-    )
-    return lines.select(*[c for c in lines.columns if c != "steps"], F.inline("steps"))
-
-
-def _step(number: int, moment: Column, status: Column) -> Column:
-    return F.struct(
-        F.lit(number).alias("_id"), _iso(moment).alias("created_at"), status.alias("status")
+        _iso(moment).alias("created_at"),
+        status.alias("status"),
     )
 
 

@@ -455,7 +455,7 @@ ORACLE["missing_not_exists"] = f"""{_with(_STATIONS)}
 SELECT id, name FROM stored t WHERE NOT is_deleted AND id NOT IN (SELECT id FROM batch)"""
 ORACLE["partition_overwrite"] = f"""{_with(_ORDER_LOADS)}
 SELECT * REPLACE (CAST(price AS DOUBLE) AS price) FROM (
-  SELECT * FROM batch UNION ALL SELECT * FROM stored WHERE created_at NOT IN (SELECT created_at FROM batch)
+  SELECT * FROM batch UNION ALL SELECT * FROM stored WHERE date_trunc('month', created_at) NOT IN (SELECT date_trunc('month', created_at) FROM batch)
 )"""
 ORACLE["append_rows"] = f"""{_with(_ORDER_LOADS)}
 SELECT * REPLACE (CAST(price AS DOUBLE) AS price) FROM (SELECT * FROM stored UNION ALL SELECT * FROM batch)"""

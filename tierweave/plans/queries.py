@@ -622,9 +622,9 @@ def publish_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def partition_overwrite(spark: SparkSession, folder: str) -> DataFrame:
-    """Days present in the second write are replaced as a whole, the others stay."""
+    """Months present in the second write are replaced as a whole, the others stay."""
     store = _scratch_store(spark)
-    spec = _order_spec("orders_by_day", "raw", Layout(by_day="created_at"))
+    spec = _order_spec("orders_overwritten", "raw", Layout(by_month="created_at"))
     stored, batch = _order_loads(spark, folder)
     store.replace(spec, stored)
     store.replace_partitions(spec, batch)

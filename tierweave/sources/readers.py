@@ -38,3 +38,13 @@ def read_parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame
 def read_dependencies(spark: SparkSession, names: Iterable[str]) -> dict[str, DataFrame]:
     """Dependency tables keyed by bare table name; read in full, never windowed."""
     return {name.rsplit(".", 1)[-1]: read_table(spark, name) for name in names}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Share a scan with fewer splits than the cluster has cores among all of them.
+
+    A small single-file table would otherwise be computed on by one task up to the first shuffle. Inputs
+    with enough splits are returned as they are, so large scans never pay for a shuffle here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

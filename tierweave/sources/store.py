@@ -8,9 +8,8 @@ run of the table finishes it before anything else.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-from operator import and_, or_
+from collections.abc import Iterable, Sequence
+from itertools import zip_longest
 from tempfile import mkdtemp
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -203,12 +202,36 @@ def _partition_sources(layout: Layout) -> list[str]:
     return [c for c in (layout.by_day, layout.by_month, layout.bucket) if c]
 
 
-def _any_of(names: Sequence[str], wanted: Sequence[Sequence]) -> Column:
-    one = [
-        reduce(and_, [F.col(n).isNull() if v is None else F.col(n) == F.lit(v) for n, v in zip(names, values)])
-        for values in wanted
+def _any_of(names: Sequence[str], wanted: Iterable[Sequence]) -> Column:
+    """Condition for a set of partitions, compact enough for thousands of them.
+
+    Values of the first column that share the same further values become one term.
+    """
+    rests: dict = {}
+    for head, *rest in wanted:
+        rests.setdefault(head, set()).add(tuple(rest))
+    alike: dict = {}
+    for head, rest in rests.items():
+        alike.setdefault(frozenset(rest), []).append(head)
+    terms = [
+        _among(names[0], heads) & _any_of(names[1:], rest) if len(names) > 1 else _among(names[0], heads)
+        for rest, heads in alike.items()
     ]
-    return reduce(or_, one, F.lit(False))
+    return _either(terms)
+
+
+def _among(name: str, values: Sequence) -> Column:
+    known = F.col(name).isin([v for v in values if v is not None])
+    return known | F.col(name).isNull() if None in values else known
+
+
+def _either(terms: list[Column]) -> Column:
+    """A balanced OR: a chain of thousands would overflow the optimizer's stack."""
+    if not terms:
+        return F.lit(False)
+    while len(terms) > 1:
+        terms = [a | b for a, b in zip_longest(terms[::2], terms[1::2], fillvalue=F.lit(False))]
+    return terms[0]
 
 
 def _folder(layout: Layout, values: Sequence) -> str:
