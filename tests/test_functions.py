@@ -125,6 +125,18 @@ def test_window_is_half_open_and_may_be_empty(spark):
     assert DateWindow(datetime(2024, 1, 2, 9), date(2024, 1, 3)).start == date(2024, 1, 2)
 
 
+def test_text_window_with_padded_dates_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    texts = ["2024-01-01T23:30:00-01:00", "2024-01-02T00:00:00Z", "2024-01-03T01:00:00+02:00", "2024-01-03T00:00:00Z", "2024-01-09", None]
+    spark.createDataFrame([(t,) for t in texts], "at STRING").write.parquet(path)
+    stored = spark.read.schema("at STRING").parquet(path)
+    window = DateWindow("2024-01-02", "2024-01-03")
+    padded = window.apply(stored, "at", text=True, padded=True)
+    assert rows(padded) == rows(window.apply(stored, "at", text=True)) == [(t,) for t in texts[:3]]
+    plan = padded._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(at,2024-01-01)" in plan and "LessThan(at,2024-01-04)" in plan
+
+
 def test_window_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.sql("SELECT 1 AS id, timestamp'2024-01-02' AS t, date'2024-01-02' AS t_day").write.partitionBy("t_day").parquet(path)
