@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tierweave.operators import quality
-from tierweave.plans.tables import SOURCE, SPECS, Layout, TableSpec
+from tierweave.plans.tables import SOURCE, SPECS
 from tierweave.plans.warehouse import Warehouse, source_from
 from tierweave.sources.incremental import DateWindow
+from tierweave.sources.layout import Layout, TableSpec
+from tierweave.sources.readers import read_dependencies
 from tierweave.sources.store import TableStore
 
 JAN = DateWindow("2024-01-01", "2024-02-01")
@@ -170,9 +172,13 @@ def test_empty_window_runs_nothing(spark, store):
 
 
 SPEC = TableSpec(
-    "moves", "silver", "fact", ("ticket_id",), layout=Layout(by_month="created_at", order=("ticket_id",)),
-    schema="ticket_id STRING, created_at TIMESTAMP, v INT",
-)
+    "moves",
+    "silver",
+    "fact",
+    ("ticket_id",),
+    "ticket_id STRING, created_at TIMESTAMP, v INT",
+    layout=Layout(by_month="created_at", order=("ticket_id",)),
+)
 
 
 def moves(spark, *data):
@@ -225,8 +231,19 @@ def test_write_modes(spark, store):
     assert store.read(SPEC).isEmpty()
 
 
+def test_registered_tables_follow_the_store(spark, store):
+    a, b = datetime(2024, 1, 5), datetime(2024, 2, 5)
+    store.replace(SPEC, moves(spark, ("x", a, 1), ("y", b, 1)))
+    name = store.register(SPEC)
+    assert rows(spark.sql(f"SELECT ticket_id, v FROM {name}")) == [("x", 1), ("y", 1)]
+    store.replace(SPEC, moves(spark, ("z", b, 2)))
+    store.register(SPEC)
+    assert rows(read_dependencies(spark, [name])["moves"], "ticket_id", "v") == [("z", 2)]
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_files_are_ordered(spark, store):
-    spec = TableSpec("sorted", "silver", "scd1", ("id",), layout=Layout(order=("id",)), schema="id BIGINT")
+    spec = TableSpec("sorted", "silver", "scd1", ("id",), "id BIGINT", layout=Layout(order=("id",)))
     store.replace(spec, spark.range(5000).orderBy(F.rand(1)))
     for file in Path(store.path(spec)).glob("*.parquet"):
         ids = [r.id for r in spark.read.parquet(str(file)).collect()]

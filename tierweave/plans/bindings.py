@@ -39,8 +39,9 @@ def _at(text: str) -> Column:
 # --- the ticket fact ---------------------------------------------------------------------------------
 
 
-def _sold_lines(spark: SparkSession, folder: str) -> DataFrame:
-    lines = spread(table(spark, folder, "lineitem")).withColumn("ticket_id", _ticket_key())
+def _sold_lines(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
+    lines = table(spark, folder, "lineitem") if lines is None else lines
+    lines = lines.withColumn("ticket_id", _ticket_key())
     orders = table(spark, folder, "orders")
     suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
     nations = table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
@@ -198,7 +199,8 @@ def source_tickets(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(_refund_time())
     )
     method = F.create_map(*[F.lit(x) for pair in PRIORITY_METHOD.items() for x in pair])
-    return _sold_lines(spark, folder).withColumn("_id", F.explode(steps)).select(
+    lines = _sold_lines(spark, folder, spread(table(spark, folder, "lineitem")))
+    return lines.withColumn("_id", F.explode(steps)).select(
         "_id",
         F.concat(F.lit(" TKT-"), "ticket_id").alias("ticket_id"),
         (F.col("l_suppkey") + 1).cast("int").alias("route_id"),
@@ -208,7 +210,7 @@ def source_tickets(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_extendedprice").cast("decimal(38,2)").alias("price"),
         F.when(F.col("l_linestatus") == "F", " VIP").alias("class"),
         F.lit(None).cast("string").alias("seat_number"),
-        _iso("l_shipdate").alias("departure_date"),
+        iso_text("l_shipdate").alias("departure_date"),
         F.struct(
             F.when(F.col("l_tax") > 0, F.col("l_tax") > 0.04).alias("child_discount"),
             (F.col("l_quantity") / 10).cast("int").alias("family_members"),
@@ -221,12 +223,12 @@ def source_tickets(spark: SparkSession, folder: str) -> DataFrame:
             F.lit(None).cast("string").alias("provider"),
         ).alias("payment"),
         F.lit(None).cast("array<string>").alias("addons"),
-        _iso(moment).alias("created_at"),
+        iso_text(moment).alias("created_at"),
         status.alias("status"),
     )
 
 
-def _iso(moment: str | Column) -> Column:
+def iso_text(moment: str | Column) -> Column:
     return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 

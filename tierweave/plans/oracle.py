@@ -190,7 +190,10 @@ SELECT CAST(s_suppkey + 1 AS INTEGER) AS id, 'n' || s_nationkey AS origin, 'n' |
 FROM supplier"""
 ORACLE["surrogate_key_stats"] = """
 SELECT count(*) AS rows, count(DISTINCT (o_orderkey, o_orderdate)) AS keys, CAST(0 AS BIGINT) AS negative FROM orders"""
-ORACLE["dedup_by_key"] = "SELECT DISTINCT l_orderkey, CAST(1 AS BIGINT) AS rows FROM lineitem"
+ORACLE["dedup_by_key"] = """
+SELECT l_orderkey, l_partkey, l_shipdate FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey DESC, l_shipdate DESC) AS rn FROM lineitem
+) WHERE rn = 1"""
 
 # --- windows -----------------------------------------------------------------------------------------
 
@@ -459,6 +462,7 @@ SELECT * REPLACE (CAST(price AS DOUBLE) AS price) FROM (
 )"""
 ORACLE["append_rows"] = f"""{_with(_ORDER_LOADS)}
 SELECT * REPLACE (CAST(price AS DOUBLE) AS price) FROM (SELECT * FROM stored UNION ALL SELECT * FROM batch)"""
+ORACLE["ordered_write"] = "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS inversions FROM lineitem"
 ORACLE["warehouse_revenue"] = f"""{_with(_LINES, _RAW_EVENTS, _EVENTS, _TRAINS, _PASSENGERS, _SILVER)}
 SELECT CAST(CAST(paid_at AS DATE) AS VARCHAR) AS revenue_date, class_id, count(*) AS total_tickets,
   CAST(sum(final_price) AS DOUBLE) AS net_revenue,

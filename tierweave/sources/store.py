@@ -8,17 +8,24 @@ run of the table finishes it before anything else.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from itertools import zip_longest
+from collections.abc import Sequence
 from tempfile import mkdtemp
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tierweave.plans.tables import Layout, TableSpec
-
-_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+from tierweave.sources.layout import (
+    TableSpec,
+    any_of,
+    distinct_partitions,
+    lay_out,
+    partition_columns,
+    partition_fields,
+    partition_folder,
+    partition_sources,
+    with_partition_columns,
+)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -58,13 +65,29 @@ class TableStore:
         """The stored table, or an empty frame of its schema before the first publish."""
         declared = StructType.fromDDL(spec.ddl)
         columns = declared.fieldNames()
-        stored = StructType(declared.fields + _partition_fields(spec.layout))
+        stored = StructType(declared.fields + partition_fields(spec.layout))
         if self.exists(self.path(spec)):
             df = self.spark.read.schema(stored).parquet(self.path(spec))
         else:
             df = self.spark.createDataFrame([], stored)
         return df if with_partitions else df.select(*columns)
 
+    def register(self, spec: TableSpec) -> str:
+        """Make the stored table readable by name, as ``layer.table``, in the session's catalog."""
+        name = f"{spec.layer}.{spec.name}"
+        parts = partition_columns(spec.layout)
+        columns = ", ".join(filter(None, [spec.ddl, *[f"{f.name} {f.dataType.simpleString()}" for f in partition_fields(spec.layout)]]))
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {spec.layer}")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet"
+            + (f" PARTITIONED BY ({', '.join(parts)})" if parts else "")
+            + f" LOCATION '{self.path(spec)}'"
+        )
+        if parts:
+            self.spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        self.spark.catalog.refreshTable(name)
+        return name
+
     # --- writing -------------------------------------------------------------------------------------
 
     def append(self, spec: TableSpec, df: DataFrame) -> None:
@@ -108,7 +131,7 @@ class TableStore:
         if affected:
             staged = with_partition_columns(self._staged_result(spec), spec.layout)
             left = {tuple(r) for r in distinct_partitions(staged, spec.layout)}
-            gone = [_folder(spec.layout, p) for p in affected if tuple(p) not in left]
+            gone = [partition_folder(spec.layout, p) for p in affected if tuple(p) not in left]
         self.spark.createDataFrame([(g,) for g in gone], "folder STRING").write.mode("overwrite").parquet(
             self.staging(spec, "ready")
         )
@@ -137,7 +160,7 @@ class TableStore:
         reads only key and partition columns, and not even those when the keys fix the partition.
         """
         found = distinct_partitions(with_partition_columns(batch, spec.layout), spec.layout)
-        if not set(_partition_sources(spec.layout)) <= set(spec.keys):
+        if not set(partition_sources(spec.layout)) <= set(spec.keys):
             names = partition_columns(spec.layout)
             keys = list(spec.keys)
             stored = self.read(spec, with_partitions=True).select(*keys, *names)
@@ -149,91 +172,4 @@ class TableStore:
         """Stored rows of the given partitions; the filter is on partition columns only."""
         stored = self.read(spec, with_partitions=True)
         names = partition_columns(spec.layout)
-        return stored.where(_any_of(names, affected)).select(*StructType.fromDDL(spec.ddl).fieldNames())
-
-
-# --- layout ------------------------------------------------------------------------------------------
-
-
-def partition_columns(layout: Layout) -> list[str]:
-    return [f.name for f in _partition_fields(layout)]
-
-
-def with_partition_columns(df: DataFrame, layout: Layout) -> DataFrame:
-    """Day, month and hash-bucket columns derived from the layout's source columns."""
-    derived = {}
-    if layout.by_day:
-        derived[f"{layout.by_day}_day"] = F.to_date(layout.by_day)
-    if layout.by_month:
-        derived[f"{layout.by_month}_month"] = F.trunc(layout.by_month, "month")
-    if layout.bucket:
-        bucket = F.pmod(F.xxhash64(layout.bucket), F.lit(layout.buckets))
-        derived[f"{layout.bucket}_bucket"] = bucket.cast("int")
-    return df.withColumns(derived) if derived else df
-
-
-def lay_out(df: DataFrame, layout: Layout) -> DataFrame:
-    """Partition columns, file distribution and file order.
-
-    ``rebalance`` brings the rows of a partition together but lets adaptive execution split one that is
-    too large for a task, so a hot day is written by many tasks. A table without partitions is sorted
-    by range, which splits a hot key along the further order columns.
-    """
-    parts = partition_columns(layout)
-    laid = with_partition_columns(df, layout)
-    if not parts:
-        return laid.sort(*layout.order) if layout.order else laid
-    return laid.hint("rebalance", *parts).sortWithinPartitions(*parts, *layout.order)
-
-
-def distinct_partitions(df: DataFrame, layout: Layout) -> list[tuple]:
-    parts = partition_columns(layout)
-    return [tuple(r) for r in df.select(*parts).distinct().collect()] if parts else []
-
-
-def _partition_fields(layout: Layout) -> list:
-    ddl = [f"{c}_day DATE" for c in (layout.by_day,) if c]
-    ddl += [f"{c}_month DATE" for c in (layout.by_month,) if c]
-    ddl += [f"{c}_bucket INT" for c in (layout.bucket,) if c]
-    return StructType.fromDDL(", ".join(ddl)).fields if ddl else []
-
-
-def _partition_sources(layout: Layout) -> list[str]:
-    return [c for c in (layout.by_day, layout.by_month, layout.bucket) if c]
-
-
-def _any_of(names: Sequence[str], wanted: Iterable[Sequence]) -> Column:
-    """Condition for a set of partitions, compact enough for thousands of them.
-
-    Values of the first column that share the same further values become one term.
-    """
-    rests: dict = {}
-    for head, *rest in wanted:
-        rests.setdefault(head, set()).add(tuple(rest))
-    alike: dict = {}
-    for head, rest in rests.items():
-        alike.setdefault(frozenset(rest), []).append(head)
-    terms = [
-        _among(names[0], heads) & _any_of(names[1:], rest) if len(names) > 1 else _among(names[0], heads)
-        for rest, heads in alike.items()
-    ]
-    return _either(terms)
-
-
-def _among(name: str, values: Sequence) -> Column:
-    known = F.col(name).isin([v for v in values if v is not None])
-    return known | F.col(name).isNull() if None in values else known
-
-
-def _either(terms: list[Column]) -> Column:
-    """A balanced OR: a chain of thousands would overflow the optimizer's stack."""
-    if not terms:
-        return F.lit(False)
-    while len(terms) > 1:
-        terms = [a | b for a, b in zip_longest(terms[::2], terms[1::2], fillvalue=F.lit(False))]
-    return terms[0]
-
-
-def _folder(layout: Layout, values: Sequence) -> str:
-    pairs = zip(partition_columns(layout), values)
-    return "/".join(f"{name}={_NULL_PARTITION if v is None else v}" for name, v in pairs)
+        return stored.where(any_of(names, affected)).select(*StructType.fromDDL(spec.ddl).fieldNames())
