@@ -115,6 +115,14 @@ def test_silver_dimensions_have_their_declared_schema(spark):
     assert rows(made["stations"].drop("sk_id")) == [(1, "s", "unknown", "jkt", False)]
 
 
+def test_overwritten_dimensions_keep_the_last_version_of_a_batch(spark):
+    later = datetime(2024, 1, 2)
+    stations = _dimension(spark, "stations", (1, "new", None, "x", later, AT), (1, "zz old", None, "x", AT, AT), (2, "b", None, "y", None, AT))
+    assert rows(cleaning.silver_stations(stations), "id", "name") == [(1, "new"), (2, "b")]
+    routes = _dimension(spark, "routes", (1, "a", "b", 1, 9, 9, AT, AT), (1, "a", "c", 1, None, 8, later, AT))
+    assert rows(cleaning.normal_routes(routes).drop("sk_id")) == [(1, "a", "c", 1, 0, 8, False)]
+
+
 def test_window_is_half_open_and_may_be_empty(spark):
     df = spark.sql("SELECT explode(sequence(timestamp'2024-01-01', timestamp'2024-01-04', interval 12 hours)) AS t")
     kept = DateWindow("2024-01-02", "2024-01-03").apply(df, "t")

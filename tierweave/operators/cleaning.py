@@ -35,6 +35,16 @@ def one_per_key(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
+    """The row with the greatest ``order`` of each key, without that column.
+
+    An overwritten dimension keeps one row per id, so of several versions in a batch the last one counts.
+    """
+    rest = [c for c in df.columns if c not in (key, order)]
+    latest = df.groupBy(key).agg(F.max(F.struct(order, *rest)).alias("_row"))
+    return latest.select(*[key if c == key else f"_row.{c}" for c in df.columns if c != order])
+
+
 def silver_passengers(bronze: DataFrame) -> DataFrame:
     shaped = bronze.select(
         _version_key(),
@@ -68,8 +78,9 @@ def silver_stations(bronze: DataFrame) -> DataFrame:
         normal("city", "unknown").alias("city"),
         normal("code").alias("code"),
         F.lit(False).alias("is_deleted"),
+        "updated_at",
     )
-    return one_per_key(shaped, "sk_id")
+    return latest_per_key(shaped, "id", "updated_at")
 
 
 def normal_routes(bronze: DataFrame) -> DataFrame:
@@ -83,8 +94,9 @@ def normal_routes(bronze: DataFrame) -> DataFrame:
         zero_if_null("distance_km", "int").alias("distance_km"),
         zero_if_null("duration_minutes", "int").alias("duration_minutes"),
         F.lit(False).alias("is_deleted"),
+        "updated_at",
     )
-    return one_per_key(shaped, "sk_id")
+    return latest_per_key(shaped, "id", "updated_at")
 
 
 def normal_ticket_events(bronze: DataFrame) -> DataFrame:

@@ -145,6 +145,7 @@ class TableStore:
         self.replace_partitions(spec, self._staged_result(spec))
         for row in self.spark.read.schema("folder STRING").parquet(marker).collect():
             self.remove(f"{self.path(spec)}/{row.folder}")
+        self.remove(marker)
         self.discard(spec)
         return True
 
