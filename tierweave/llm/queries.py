@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierweave.llm import exact_dedup, language_id, outliers, packing, secrets, simhash, token_counts
+from tierweave.llm import exact_dedup, html_text, language_id, outliers, packing, secrets, simhash, token_counts, toxicity
 from tierweave.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op6_content_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_block_tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op8_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
     return found.select(
@@ -45,6 +49,12 @@ def op9_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_robust_outliers, op3_vector_packing, op4_rank_order_profiles, op5_golay_simhash, op6_content_sort_dedup, op8_secret_ownership, op9_token_lengths)}
+def op10_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, toxicity.severity_labels(table(spark, sf_dir, "labels")))
+    return toxicity.score_toxicity(docs, model)
+
+
+QUERIES = {f.__name__: f for f in (op1_robust_outliers, op3_vector_packing, op4_rank_order_profiles, op5_golay_simhash, op6_content_sort_dedup, op7_block_tree_text, op8_secret_ownership, op9_token_lengths, op10_ordinal_toxicity)}
 
 ORACLE = {"op6_content_sort_dedup": exact_dedup.SQL, "op8_secret_ownership": secrets.sql()}
