@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierweave.llm import exact_dedup, html_text, language_id, outliers, packing, secrets, simhash, token_counts, toxicity
+from tierweave.llm import exact_dedup, html_text, language_id, outliers, packing, secrets, segmentation, simhash, token_counts, toxicity
 from tierweave.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.robust_outliers(table(spark, sf_dir, "documents"))
 
 
+def op2_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segmentation.sample_segmentations(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op3_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,6 @@ def op10_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model)
 
 
-QUERIES = {f.__name__: f for f in (op1_robust_outliers, op3_vector_packing, op4_rank_order_profiles, op5_golay_simhash, op6_content_sort_dedup, op7_block_tree_text, op8_secret_ownership, op9_token_lengths, op10_ordinal_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_robust_outliers, op2_gumbel_segmentations, op3_vector_packing, op4_rank_order_profiles, op5_golay_simhash, op6_content_sort_dedup, op7_block_tree_text, op8_secret_ownership, op9_token_lengths, op10_ordinal_toxicity)}
 
 ORACLE = {"op6_content_sort_dedup": exact_dedup.SQL, "op8_secret_ownership": secrets.sql()}
