@@ -18,7 +18,7 @@ SEQUENCE = 2048
 END_ID = 1
 MAX_SEGMENTS = 512
 #: Pieces that are packed together. A task holds some such blocks, however large the corpus is.
-BLOCK = 8192
+BLOCK = 4096
 _ID_BYTES = 4
 
 PIECE_SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
@@ -83,7 +83,9 @@ def dot_product_packing(demands: np.ndarray, limits: np.ndarray) -> tuple[np.nda
     inside = 0
     live = np.arange(len(kinds))
     while placed < n:
-        fit = live[(kinds[live] <= room).all(axis=1)] if current >= 0 else live[:0]
+        # Kinds are sorted by tokens, so those with too many stand at the end.
+        fit = live[: np.searchsorted(kinds[live, 0], room[0], side="right")] if current >= 0 else live[:0]
+        fit = fit[(kinds[fit, 1:] <= room[1:]).all(axis=1)]
         if not len(fit):
             current, room, inside = current + 1, limits.copy(), 0
             live = live[at[live] < ends[live]]

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+
 #: Unicode white space, as the byte-level pattern knows it (fixed values).
-_SPACE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
+_SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: White space belongs to the word behind it: no byte-level token reaches from a word into the white space after it.
-BYTE_LEVEL = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+BYTE_LEVEL = re.compile(f"[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+")
 #: Only U+0020 opens a piece; white space at the end stays with the last word.
 PIECES = re.compile(r" *[^ ]+(?: +\Z)?| +")
 
@@ -55,19 +56,53 @@ def balanced(texts: Iterable[str], most: int) -> Iterator[list[str]]:
         yield batch
 
 
-def byte_level_encoder(path: str, extra: int | None = None) -> Callable[[list[str]], list[bytes]]:
-    """Texts to their ids as little-endian unsigned 32-bit bytes, by the tokenizers library."""
+def byte_level_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
+    """Words as BYTE_LEVEL cuts them to their ids, as little-endian unsigned 32-bit bytes, by the tokenizers library.
+
+    Words that begin with white space are encoded as one text, since no token spans two of them, and told apart again by the
+    tokens' lengths in bytes; others are encoded one by one.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    # A byte-level entry has a character per byte; an added token is written as it is.
+    sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)
+    for token, i in tokenizer.get_vocab(with_added_tokens=False).items():
+        sizes[i] = len(token)
+    for i, token in tokenizer.get_added_tokens_decoder().items():
+        sizes[i] = len(token.content.encode())
+
+    def apart(texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def together(texts: list[str]) -> list[bytes]:
+        ids = np.array(tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, np.int64)
+        ends = np.cumsum([len(t.encode()) for t in texts])
+        reached = np.cumsum(sizes[ids])
+        at = np.searchsorted(reached, ends)
+        if len(ids) == 0 or reached[-1] != ends[-1] or (reached[at] != ends).any():
+            return apart(texts)
+        raw, stops = ids.astype("<u4").tobytes(), ((at + 1) * 4).tolist()
+        return [raw[i:j] for i, j in zip([0, *stops], stops)]
 
     def encode(texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        out = dict.fromkeys(texts, b"")
+        spaced = [t for t in texts if t[0] in " \n" and t[-1] not in _SPACES]
+        for i in range(0, len(spaced), TOGETHER):
+            part = spaced[i : i + TOGETHER]
+            out.update(zip(part, together(part)))
+        rest = [t for t in texts if not (t[0] in " \n" and t[-1] not in _SPACES)]
+        out.update(zip(rest, apart(rest)))
+        return list(out.values())
 
     return encode
 
 
+#: Words that are encoded as one text.
+TOGETHER = 2_000
+
+
 def piece_counter(path: str) -> Callable[[list[str]], list[int]]:
     """Texts to numbers of tokens, by the sentencepiece library."""
     import sentencepiece
