@@ -21,6 +21,8 @@ STEPS = 3
 #: Quantiles of the chi-squared distribution with six degrees of freedom: the median and 1 - 1e-4 (fixed values).
 CHI2_MEDIAN = 5.348
 CHI2_CUT = 27.86
+#: Accuracy of percentile sketches, 1 / ACCURACY of a group's rows. All tasks' sketches of a group meet in one, so they are kept small.
+ACCURACY = 1_000
 #: Groups with fewer usable rows take the estimate over all rows.
 MIN_GROUP = 200
 #: Pseudo-words: the statistics of short texts are drawn to a common value, as they vary more.
@@ -139,12 +141,12 @@ def estimates(rows: DataFrame, steps: int = STEPS, support: float = SUPPORT) ->
     """Minimum-covariance-determinant estimates per group (column grp) of feature rows, by deterministic start and concentration.
 
     Start: each component by its median and quartile range. Each step keeps the share `support` of a group's rows
-    with the smallest distances (threshold: a percentile sketch, accurate to 1/10,000 of the rows) and
+    with the smallest distances (threshold: a percentile sketch, accurate to 1/1,000 of the rows) and
     takes their mean and covariance, which never raises the determinant. At the end the covariance is scaled so
     that the median distance is the one of a normal sample.
     """
     d, f = len(FEATURES), _names()
-    quartiles = rows.groupBy("grp").agg(*(F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}") for i, x in enumerate(f)))
+    quartiles = rows.groupBy("grp").agg(*(F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), ACCURACY).alias(f"q{i}") for i, x in enumerate(f)))
     start = quartiles.select(
         "grp",
         *(F.col(f"q{i}")[1].alias(f"m{i}") for i in range(d)),
@@ -153,11 +155,11 @@ def estimates(rows: DataFrame, steps: int = STEPS, support: float = SUPPORT) ->
     now = staged(_inverted(start, F.lit(1.0)))
     for _ in range(steps):
         far = _with_distance(rows, now)
-        edge = staged(far.groupBy("grp").agg(F.percentile_approx("d2", F.lit(support)).alias("edge")))
+        edge = staged(far.groupBy("grp").agg(F.percentile_approx("d2", F.lit(support), ACCURACY).alias("edge")))
         core = far.join(broadcast_below(edge, MOST_BROADCAST), "grp").where("d2 <= edge")
         moments = staged(_moments(core, ["grp"]))
         now = staged(_inverted(moments, F.lit(1.0)))
-    middle = _with_distance(rows, now).groupBy("grp").agg(F.percentile_approx("d2", F.lit(0.5)).alias("middle"))
+    middle = _with_distance(rows, now).groupBy("grp").agg(F.percentile_approx("d2", F.lit(0.5), ACCURACY).alias("middle"))
     scale = F.greatest(F.lit(1.0), F.col("middle") / CHI2_MEDIAN)
     return staged(_inverted(moments.join(middle, "grp"), scale))
 
