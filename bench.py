@@ -38,6 +38,7 @@ HEADLINE = (
     "aggregate_upsert",
     "dq_suite_tickets",
     "dq_suite_revenue_daily",
+    "warehouse_revenue",
 )
 
 

@@ -29,4 +29,14 @@ def test_entry(spark):
     from __spark_entry__ import entry, oracle_sql, queries
 
     assert entry(spark).count() > 0
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql()) <= set(queries())
+
+
+def test_session_zone_does_not_matter(spark, connection):
+    for name in ("silver_tickets", "revenue_daily", "dq_suite_tickets", "incremental_window", "asof_train"):
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        try:
+            mine = spark_rows(QUERIES[name](spark, FOLDER))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert differences(mine, duck_rows(connection, ORACLE[name])) is None

@@ -116,6 +116,12 @@ def test_two_months_through_all_layers(spark, store):
         ("2024-02-04", 1, Decimal("28.35"), Decimal("0.00")),
     ]
 
+    booked = table(store, "gold", "cancellation_summary")
+    assert booked.agg(F.sum("total_tickets_created")).first()[0] == facts.count()
+    assert rows(booked.selectExpr("string(booking_date)", "total_tickets_created")) == [
+        ("2024-01-05", 1), ("2024-02-02", 1), ("2024-02-03", 1), ("2024-02-04", 1),
+    ]
+
     before = {name: rows(table(store, "silver", name)) for name in ("passengers", "trains", "stations", "routes", "tickets")}
     gold = {name: rows(table(store, "gold", name).drop("updated_at")) for layer, name in SPECS if layer == "gold"}
     stamps = rows(revenue)
@@ -164,6 +170,27 @@ def test_failed_check_leaves_the_table_byte_identical(spark, store):
     assert rows(table(store, "silver", "trains").where("is_active"), "capacity") == [(9999,), (9999,)]
 
 
+def test_gold_rewrites_only_months_that_changed(spark, store):
+    warehouse = Warehouse(store, source_from(frames(spark, False)))
+    warehouse.bootstrap()
+    run_all(warehouse, JAN, ["revenue_daily"])
+    before = files_of(store, "gold", "revenue_daily")
+    run_all(warehouse, FEB, ["revenue_daily"])
+    after = files_of(store, "gold", "revenue_daily")
+    january = {p for p in before if "2024-01-01" in p}
+    assert january and all(after.get(p) == before[p] for p in january)
+    assert any("2024-02-01" in p for p in after)
+
+
+def test_transform_with_wrong_schema_is_refused(spark, store, monkeypatch):
+    warehouse = Warehouse(store, source_from(frames(spark, False)))
+    plain = warehouse._transform
+    for change in (lambda df: df.withColumn("capacity", F.col("capacity").cast("double")), lambda df: df.withColumn("extra", F.lit(1))):
+        monkeypatch.setattr(warehouse, "_transform", lambda spec, batch: change(plain(spec, batch)))
+        with pytest.raises(quality.QualityError, match="declared"):
+            warehouse.run_table("bronze", "trains", JAN)
+
+
 def test_empty_window_runs_nothing(spark, store):
     warehouse = Warehouse(store, source_from(frames(spark, False)))
     assert warehouse.run_table("bronze", "trains", FEB) is None

@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierweave.operators.skew import HOT_ROWS, hot_keys, neighbour, with_slots
+from tierweave.operators.skew import HOT_ROWS, carried, hot_keys, neighbour, with_slots
 
 
 def upsert(
@@ -19,22 +19,34 @@ def upsert(
     compare: Sequence[str] | None = None,
     null_safe: bool = True,
     match_null_keys: bool = True,
+    keep_absent: bool = True,
 ) -> DataFrame:
     """Insert new keys, replace rows whose ``compare`` columns changed, leave the others untouched.
 
     ``compare`` defaults to all non-key columns; an audit column left out of it moves only together with
     a real change. The batch holds one row per key. ``null_safe=False`` compares with ``<>``, which
     cannot see a change from or to NULL; ``match_null_keys=False`` matches keys with ``=``, which inserts
-    a NULL-key row again on every run. Both exist to reproduce tables built that way.
+    a NULL-key row again on every run. Both exist to reproduce tables built that way. ``keep_absent=False`` takes the
+    batch as complete: stored keys that it lacks go away.
     """
     compare = [c for c in target.columns if c not in keys] if compare is None else compare
     paired = _pair(target, batch, keys, match_null_keys)
+    if not keep_absent:
+        paired = paired.where(F.col("_new_here").isNotNull())
     take_new = _only_new() | (_both() & _differs(compare, null_safe))
     return paired.select(
         *[F.when(take_new, _new(c)).otherwise(_old(c)).alias(c) for c in target.columns]
     )
 
 
+def changed_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], compare: Sequence[str]) -> DataFrame:
+    """Stored and new rows, in the target's columns, of all keys that were added, changed or lost."""
+    paired = _pair(target, batch, keys)
+    differ = paired.where(~(_both() & ~_differs(compare, null_safe=True)) | F.col("_new_here").isNull())
+    rows = [F.when(F.col(f"_{side}_here"), F.struct(*[F.col(f"_{side}_{c}").alias(c) for c in target.columns])) for side in ("old", "new")]
+    return differ.select(F.inline(F.array_compact(F.array(*rows))))
+
+
 def fold_history(
     target: DataFrame, batch: DataFrame, key: str, order: str, milestones: Sequence[str]
 ) -> DataFrame:
@@ -149,6 +161,9 @@ def scd2_merge(
     ``start_date``: a batch version equal to its predecessor is dropped, every other one ends where its
     successor starts, and the last is active. A batch version with the start of a stored one replaces
     its content. Stored versions are never dropped, and keys outside the batch are not rewritten.
+
+    Closed history stays closed: a batch version that starts inside a stored interval ends with it at the
+    latest, and one that repeats its predecessor is dropped only while the predecessor is still in force.
     """
     columns = target.columns
     touched = batch.select(key).distinct()
@@ -163,23 +178,26 @@ def scd2_merge(
         F.max("end_date").alias("_stored_end"),
     )
     versions = at_start.select(key, "start_date", "_origin", "_stored_end", *[f"_row.{c}" for c in body])
-    keys = target.select(key).unionAll(batch.select(key))
-    hot = hot_keys(keys, hot_rows)
+    hot = hot_keys(pool.select(key), hot_rows)
     versions = with_slots(versions, key, "start_date", hot)
 
-    content = F.struct("_stored_end", *tracked)
+    stored_end = F.when(F.col("_origin") == 0, F.struct("_stored_end"))
+    versions = carried(versions, key, hot, "start_date", stored_end, "_around")
+    inherited = F.when(F.col("_around._stored_end") > F.col("start_date"), F.col("_around._stored_end"))
+    until = F.when(F.col("_origin") == 0, F.col("_stored_end")).otherwise(inherited)
+    versions = versions.withColumn("_until", until).drop("_around")
+
+    content = F.struct("_until", *tracked)
     seen = neighbour(versions, key, hot, "start_date", content, "_before", ahead=False)
     unchanged = reduce(
         lambda a, b: a & b, [F.col(f"_before.{c}").eqNullSafe(F.col(c)) for c in tracked]
     )
-    reaches = F.col("_before._stored_end").isNull() | (
-        F.col("_before._stored_end") > F.col("start_date")
-    )
+    reaches = F.col("_before._until").isNull() | (F.col("_before._until") > F.col("start_date"))
     redundant = (F.col("_origin") == 1) & F.col("_before").isNotNull() & unchanged & reaches
     kept = seen.where(~redundant).drop("_before")
 
     chained = neighbour(kept, key, hot, "start_date", F.col("start_date"), "_next", ahead=True)
-    ended = chained.withColumn("end_date", F.least("_next", "_stored_end"))
+    ended = chained.withColumn("end_date", F.least("_next", "_until"))
     rebuilt = ended.withColumn("is_active", F.col("end_date").isNull())
     return untouched.select(*columns).unionByName(rebuilt.select(*columns))
 

@@ -396,6 +396,18 @@ SELECT sk_id, id, name, gender, phone, email,
   lead(start_date) OVER (PARTITION BY id ORDER BY start_date) AS end_date
 FROM chain"""
 
+ORACLE["scd2_with_gaps"] = f"""{_with(_LOADS)},
+rows AS (
+  SELECT *, 0 AS n, TIMESTAMP '1995-01-01' AS start_date, CASE WHEN id % 3 = 0 THEN TIMESTAMP '1995-06-01'
+    WHEN id % 2 = 0 THEN TIMESTAMP '1996-01-01' END AS end_date FROM stored
+  UNION ALL
+  SELECT * REPLACE ('moved' AS gender), 2, TIMESTAMP '1995-06-01',
+    CASE WHEN id % 2 = 0 THEN TIMESTAMP '1996-01-01' ELSE TIMESTAMP '1997-01-01' END FROM stored WHERE id % 3 = 0
+  UNION ALL
+  SELECT *, 3, TIMESTAMP '1997-01-01', NULL FROM stored WHERE id % 3 = 0 OR id % 2 = 0
+)
+SELECT * EXCLUDE (n) REPLACE (sk_id + n AS sk_id), end_date IS NULL AS is_active FROM rows"""
+
 _ORDER_LOADS = """stored AS (
   SELECT o_orderkey AS ticket_id, o_orderstatus AS status, CAST(o_totalprice AS DECIMAL(18,2)) AS price, o_orderdate AS created_at
   FROM orders WHERE o_orderpriority <> '1-URGENT'
@@ -469,6 +481,18 @@ SELECT CAST(CAST(paid_at AS DATE) AS VARCHAR) AS revenue_date, class_id, count(*
   CAST(coalesce(sum(final_price) FILTER (WHERE refunded_at IS NOT NULL), 0) AS DOUBLE) AS refunded_revenue
 FROM silver WHERE paid_at IS NOT NULL GROUP BY 1, 2"""
 
+_ALL_SILVER = _with(_LINES, _RAW_EVENTS, _EVENTS, _TRAINS, _PASSENGERS, _SILVER)
+ORACLE["gold_after_second_window"] = f"""{_ALL_SILVER}
+SELECT 'cancellation_summary' AS summary, CAST(CAST(created_at AS DATE) AS VARCHAR) AS day, class_id, count(*) AS tickets
+FROM silver GROUP BY 2, 3
+UNION ALL
+SELECT 'revenue_daily', CAST(CAST(paid_at AS DATE) AS VARCHAR), class_id, count(*) FROM silver WHERE paid_at IS NOT NULL GROUP BY 2, 3
+UNION ALL
+SELECT 'refund_loss', CAST(CAST(refunded_at AS DATE) AS VARCHAR), class_id, count(*) FROM silver WHERE refunded_at IS NOT NULL GROUP BY 2, 3
+UNION ALL
+SELECT 'train_performance', CAST(CAST(departure_date AS DATE) AS VARCHAR), CAST(NULL AS INTEGER), count(*) FILTER (paid_at IS NOT NULL)
+FROM silver GROUP BY 2"""
+
 # --- quality -----------------------------------------------------------------------------------------
 
 

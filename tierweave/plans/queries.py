@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,14 +20,18 @@ from tierweave.plans.warehouse import Warehouse, source_from
 from tierweave.functions import money, surrogate_key
 from tierweave.sources.incremental import DateWindow
 from tierweave.sources.layout import Layout, TableSpec
-from tierweave.sources.store import TableStore, shared_folder
+from tierweave.sources.store import TableStore, pin_utc, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = lambda spark, folder: comparable(build(spark, folder))
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        pin_utc(spark)
+        return comparable(build(spark, folder))
+
+    QUERIES[build.__name__] = run
     return build
 
 
@@ -322,6 +328,29 @@ def scd2_multi_version(spark: SparkSession, folder: str) -> DataFrame:
     return merge.scd2_merge(stored, b.late_passengers(spark, folder), "id", _PASSENGER)
 
 
+@query
+def scd2_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored versions of half of the customers are closed in 1996; the batch has a version inside that time, of
+    new content for every third customer, and one after it."""
+    stored = b.first_passengers(spark, folder)
+    closed = F.col("id") % 2 == 0
+    stored = stored.withColumns(
+        {
+            "is_active": ~closed,
+            "end_date": F.when(closed, F.lit("1996-01-01").cast("timestamp")),
+        }
+    )
+    inside = stored.withColumns(
+        {
+            "sk_id": F.col("sk_id") + 2,
+            "gender": F.when(F.col("id") % 3 == 0, "moved").otherwise(F.col("gender")),
+            "start_date": F.lit("1995-06-01").cast("timestamp"),
+        }
+    )
+    after = stored.withColumns({"sk_id": F.col("sk_id") + 3, "start_date": F.lit("1997-01-01").cast("timestamp")})
+    return merge.scd2_merge(stored, inside.unionByName(after), "id", _PASSENGER)
+
+
 def _order_loads(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Stored: orders not urgent. Batch: orders of 1997 on, cheap ones repriced, some statuses unknown."""
     orders = b.table(spark, folder, "orders").select(
@@ -360,16 +389,25 @@ def fact_upsert_null_unsafe(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def fact_fold(spark: SparkSession, folder: str) -> DataFrame:
-    """Two halves of the month collapsed one by one and folded: what collapsing the month at once gives."""
+    """Two halves of the time collapsed one by one and folded: what collapsing it at once gives."""
     events = b.status_events(spark, folder).drop("value")
-    first = DateWindow("2024-01-01", "2024-01-15").apply(events, "created_at")
-    rest = DateWindow("2024-01-15", "2024-03-01").apply(events, "created_at")
+    start, middle, end = _thirds(events, "created_at")
+    first = DateWindow(start, middle).apply(events, "created_at")
+    rest = DateWindow(middle, end).apply(events, "created_at")
     stored = _collapsed(first)
     return merge.fold_history(
         stored, _collapsed(rest), "ticket_id", "created_at", list(history.TICKET_MILESTONES)
     )
 
 
+def _thirds(df: DataFrame, moment: str) -> tuple[str, str, str]:
+    """First day, middle day and the day after the last of a time column."""
+    day = F.to_date(moment)
+    first, last = df.agg(F.min(day), F.max(day)).first()
+    first, last = first or date(1970, 1, 1), last or date(1970, 1, 1)
+    return str(first), str(first + (last - first) / 2), str(last + timedelta(days=1))
+
+
 def _collapsed(events: DataFrame) -> DataFrame:
     """Tickets by user alone, so that they reach over both halves."""
     by_user = events.withColumn("ticket_id", F.substring_index("ticket_id", "-", 1))
@@ -672,8 +710,10 @@ def warehouse_revenue(spark: SparkSession, folder: str) -> DataFrame:
     Route keys are hashes, so the routes are summed up here.
     """
     store = _scratch_store(spark)
-    warehouse = Warehouse(store, source_from(b.sources(spark, folder)))
-    window = DateWindow("1995-01-01", "2002-01-01")
+    sources = b.sources(spark, folder)
+    warehouse = Warehouse(store, source_from(sources))
+    start, _, end = _source_days(sources)
+    window = DateWindow(start, end)
     warehouse.bootstrap()
     warehouse.run_stage("bronze", window)
     warehouse.run_stage("silver", window)
@@ -684,3 +724,40 @@ def warehouse_revenue(spark: SparkSession, folder: str) -> DataFrame:
         money(F.sum("net_revenue")).alias("net_revenue"),
         money(F.sum("refunded_revenue")).alias("refunded_revenue"),
     )
+
+
+def _source_days(sources: dict[str, DataFrame]) -> tuple[str, str, str]:
+    """First day, middle day and the day after the last over the window columns of all sources."""
+    moments = [
+        df.select(F.try_to_timestamp(F.col(SPECS["bronze", name].window_field).cast("string")).alias("at"))
+        for name, df in sources.items()
+    ]
+    return _thirds(reduce(DataFrame.unionByName, moments), "at")
+
+
+@query
+def gold_after_second_window(spark: SparkSession, folder: str) -> DataFrame:
+    """All layers in two windows; tickets booked in the first move to another day in the second. Tickets per summary,
+    day and class at the end."""
+    store = _scratch_store(spark)
+    sources = b.sources(spark, folder)
+    warehouse = Warehouse(store, source_from(sources))
+    start, middle, end = _source_days(sources)
+    warehouse.bootstrap()
+    for window in (DateWindow(start, middle), DateWindow(middle, end)):
+        for layer in ("bronze", "silver", "gold"):
+            warehouse.run_stage(layer, window, check=False)
+    summaries = {
+        "cancellation_summary": ("booking_date", "class_id", "total_tickets_created"),
+        "revenue_daily": ("revenue_date", "class_id", "total_tickets"),
+        "refund_loss": ("refund_date", "class_id", "total_tickets_refunded"),
+        "train_performance": ("departure_date", None, "total_tickets_sold"),
+    }
+    parts = [
+        store.read(SPECS["gold", name])
+        .groupBy(F.to_date(day).alias("day"), (F.col(cls) if cls else F.lit(None).cast("int")).alias("class_id"))
+        .agg(F.sum(tickets).alias("tickets"))
+        .select(F.lit(name).alias("summary"), "day", "class_id", "tickets")
+        for name, (day, cls, tickets) in summaries.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -9,7 +9,6 @@ run of the table finishes it before anything else.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from tempfile import mkdtemp
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,13 +28,19 @@ from tierweave.sources.layout import (
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir`` where the cluster sets it."""
+    """Folder every executor can reach: ``spark.checkpoint.dir`` where the cluster sets it, else beside the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return folder or mkdtemp(prefix="tierweave-")
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tierweave"
+
+
+def pin_utc(spark: SparkSession) -> None:
+    """Days, windows and weekdays are those of UTC, in whatever zone the session was started."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
+        pin_utc(spark)
         self.spark = spark
         self.root = root.rstrip("/")
 
@@ -174,3 +179,8 @@ class TableStore:
         stored = self.read(spec, with_partitions=True)
         names = partition_columns(spec.layout)
         return stored.where(any_of(names, affected)).select(*StructType.fromDDL(spec.ddl).fieldNames())
+
+    def within(self, spec: TableSpec, df: DataFrame, affected: Sequence[Sequence]) -> DataFrame:
+        """Rows of a frame that belong to the given partitions."""
+        placed = with_partition_columns(df, spec.layout)
+        return placed.where(any_of(partition_columns(spec.layout), affected)).select(*df.columns)
