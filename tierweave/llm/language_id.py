@@ -16,9 +16,9 @@ from tierweave.llm.common import small_batches, staged
 PROFILE = 400
 #: Languages that the label column may have; profiles of so many fit every task.
 MOST_LANGUAGES = 2_000
-#: n-gram lengths. A code point takes 21 bits, so three fit a 64-bit number; 0 stands for the rim of a word.
+#: n-gram lengths. A code point takes 21 bits, so three fit a 64-bit number; RIM, no letter, stands for the rim of a word.
 ORDERS = (1, 2, 3)
-_BITS = 21
+_BITS, RIM = 21, 1
 #: A text is unlike every language if its best similarity is below this: two thirds of a language's common documents score over twice as much.
 LEAST_SIMILARITY = 0.12
 
@@ -34,16 +34,16 @@ def _letters() -> np.ndarray:
 def ngrams(text: str, letters: np.ndarray) -> np.ndarray:
     """All n-grams of the lower-cased text's words, with the rim of a word as a character; none if there is no letter."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    points = np.where(letters[points], points, 0)
+    points = np.where(letters[points], points, RIM)
     # One rim between words, one at both ends.
-    points = np.concatenate(([0], points, [0]))
-    points = points[np.concatenate(([True], (points[1:] != 0) | (points[:-1] != 0)))]
+    points = np.concatenate(([RIM], points, [RIM]))
+    points = points[np.concatenate(([True], (points[1:] != RIM) | (points[:-1] != RIM)))]
     if len(points) < 3:
         return points[:0]
     pairs = points[:-1] << _BITS | points[1:]
     threes = pairs[:-1] << _BITS | points[2:]
     # No n-gram reaches from one word into the next.
-    return np.concatenate([points[points != 0], pairs, threes[points[1:-1] != 0]])
+    return np.concatenate([points[points != RIM], pairs, threes[points[1:-1] != RIM]])
 
 
 def ranked(grams: np.ndarray, most: int) -> np.ndarray:
