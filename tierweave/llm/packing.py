@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierweave.llm.common import small_batches, staged
-from tierweave.llm.vocabulary import BYTE_LEVEL, Remembering, byte_level_encoder, tokenizer_path
+from tierweave.llm.vocabulary import BYTE_LEVEL, Remembering, balanced, byte_level_encoder, tokenizer_path
 
 SEQUENCE = 2048
 END_ID = 1
 MAX_SEGMENTS = 512
 #: Pieces that are packed together. A task holds some such blocks, however large the corpus is.
 BLOCK = 4096
+#: Characters of texts that are encoded together.
+GROUP_CHARS = 1 << 20
 _ID_BYTES = 4
 
 PIECE_SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
@@ -32,14 +34,17 @@ def _cut(path: str, size: int, end_id: int):
         ids_of = Remembering(byte_level_encoder(path))
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = BYTE_LEVEL.findall(text or "")
-                known = ids_of.learn(words)
-                ids = b"".join(map(known.__getitem__, words)) + end
-                total = len(ids) // _ID_BYTES
-                for start in range(0, total, size):
-                    part = ids[start * _ID_BYTES : (start + size) * _ID_BYTES]
-                    out.append((doc_id, start, len(part) // _ID_BYTES, zlib.crc32(part), total))
+            doc_ids = iter(batch.column(0).to_pylist())
+            # The words of about a megabyte of texts are learned together.
+            for group in balanced((t or "" for t in batch.column(1).to_pylist()), GROUP_CHARS):
+                split = [BYTE_LEVEL.findall(t) for t in group]
+                known = ids_of.learn(w for words in split for w in words)
+                for words, doc_id in zip(split, doc_ids):
+                    ids = b"".join(map(known.__getitem__, words)) + end
+                    total = len(ids) // _ID_BYTES
+                    for start in range(0, total, size):
+                        part = ids[start * _ID_BYTES : (start + size) * _ID_BYTES]
+                        out.append((doc_id, start, len(part) // _ID_BYTES, zlib.crc32(part), total))
             names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
             columns = zip(*out) if out else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], list(names))
