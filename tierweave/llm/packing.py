@@ -18,7 +18,7 @@ SEQUENCE = 2048
 END_ID = 1
 MAX_SEGMENTS = 512
 #: Pieces that are packed together. A task holds some such blocks, however large the corpus is.
-BLOCK = 4096
+BLOCK = 2048
 #: Characters of texts that are encoded together.
 GROUP_CHARS = 1 << 20
 _ID_BYTES = 4

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable, Iterable, Iterator
@@ -64,8 +65,15 @@ def byte_level_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
+    from tokenizers.models import BPE
 
     tokenizer = Tokenizer.from_file(path)
+    # Every word comes once, so the library's own memory of words only costs. The file has no setting for it.
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    settings = {k: model[k] for k in ("unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges") if model.get(k)}
+    tokenizer.model = BPE(vocab=model["vocab"], merges=merges, cache_capacity=0, **settings)
     # A byte-level entry has a character per byte; an added token is written as it is.
     sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)
     for token, i in tokenizer.get_vocab(with_added_tokens=False).items():
