@@ -38,7 +38,7 @@ def _cut(path: str, size: int, end_id: int):
             # The words of about a megabyte of texts are learned together.
             for group in balanced((t or "" for t in batch.column(1).to_pylist()), GROUP_CHARS):
                 split = [BYTE_LEVEL.findall(t) for t in group]
-                known = ids_of.learn(w for words in split for w in words)
+                known = ids_of.learn(split)
                 for words, doc_id in zip(split, doc_ids):
                     ids = b"".join(map(known.__getitem__, words)) + end
                     total = len(ids) // _ID_BYTES

@@ -58,7 +58,7 @@ def _lengths(path: str):
             at = 0
             for group in balanced([w for _, w in todo], BATCH_CHARS):
                 pieces = [cut_pieces(w) for w in group]
-                known = counts.learn(p for ps in pieces for p in ps)
+                known = counts.learn(pieces)
                 for (i, _), ps in zip(todo[at : at + len(group)], pieces):
                     out[i] += sum(map(known.__getitem__, ps))
                 at += len(group)

@@ -32,20 +32,27 @@ class Remembering:
     def __init__(self, encode: Callable[[list[str]], Iterable], batch_bytes: int = 1 << 20):
         self.encode, self.batch_bytes, self.known = encode, batch_bytes, {}
 
-    def learn(self, pieces: Iterable[str]) -> dict:
-        """A mapping that holds all given pieces."""
-        known, wanted = self.known, set(pieces)
-        new = [p for p in wanted if p not in known]
+    def learn(self, pieces: Iterable[Iterable[str]]) -> dict:
+        """A mapping that holds all pieces of the given texts."""
+        known, wanted = self.known, set().union(*pieces)
+        new = wanted.difference(known)
         if len(known) + len(new) > REMEMBERED:
+            # What these texts need stays.
+            kept = {p: known[p] for p in wanted.difference(new)}
             known.clear()
-            new = list(wanted)
-        for batch in balanced(sorted(new, key=len), self.batch_bytes):
+            known.update(kept)
+        for batch in balanced(new, self.batch_bytes):
             known.update(zip(batch, self.encode(batch)))
         return known
 
 
 def balanced(texts: Iterable[str], most: int) -> Iterator[list[str]]:
     """Batches of about equal size: each is closed before it would pass `most` characters; a longer text is a batch alone."""
+    texts = list(texts)
+    if sum(map(len, texts)) <= most:
+        if texts:
+            yield texts
+        return
     batch, size = [], 0
     for t in texts:
         if batch and size + len(t) > most:
@@ -85,8 +92,10 @@ def byte_level_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
         return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def together(texts: list[str]) -> list[bytes]:
-        ids = np.array(tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, np.int64)
-        ends = np.cumsum([len(t.encode()) for t in texts])
+        joined = "".join(texts)
+        ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
+        lengths = map(len, texts) if joined.isascii() else map(len, map(str.encode, texts))
+        ends = np.cumsum(np.fromiter(lengths, np.int64, len(texts)))
         reached = np.cumsum(sizes[ids])
         at = np.searchsorted(reached, ends)
         if len(ids) == 0 or reached[-1] != ends[-1] or (reached[at] != ends).any():
@@ -95,14 +104,14 @@ def byte_level_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
         return [raw[i:j] for i, j in zip([0, *stops], stops)]
 
     def encode(texts: list[str]) -> list[bytes]:
-        out = dict.fromkeys(texts, b"")
-        spaced = [t for t in texts if t[0] in " \n" and t[-1] not in _SPACES]
+        spaced, rest = [], []
+        for t in texts:
+            (spaced if t[0] in " \n" and t[-1] not in _SPACES else rest).append(t)
+        out = dict(zip(rest, apart(rest)))
         for i in range(0, len(spaced), TOGETHER):
             part = spaced[i : i + TOGETHER]
             out.update(zip(part, together(part)))
-        rest = [t for t in texts if not (t[0] in " \n" and t[-1] not in _SPACES)]
-        out.update(zip(rest, apart(rest)))
-        return list(out.values())
+        return [out[t] for t in texts]
 
     return encode
 
