@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierweave.llm.common import small_batches, staged
-from tierweave.llm.vocabulary import BYTE_LEVEL, Remembering, balanced, byte_level_encoder, tokenizer_path
+from tierweave.llm.vocabulary import BYTE_LEVEL, Remembering, balanced, byte_level_encoder, of_worker, tokenizer_path
 
 SEQUENCE = 2048
 END_ID = 1
@@ -31,7 +31,7 @@ def _cut(path: str, size: int, end_id: int):
     end = int(end_id).to_bytes(_ID_BYTES, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = Remembering(byte_level_encoder(path))
+        ids_of = of_worker(f"byte-level ids {path}", lambda: Remembering(byte_level_encoder(path)))
         for batch in batches:
             out: list[tuple] = []
             doc_ids = iter(batch.column(0).to_pylist())

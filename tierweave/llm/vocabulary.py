@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -16,8 +18,8 @@ BYTE_LEVEL = re.compile(f"[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+")
 #: Only U+0020 opens a piece; white space at the end stays with the last word.
 PIECES = re.compile(r" *[^ ]+(?: +\Z)?| +")
 
-#: Different pieces that a task remembers, about 200 bytes each.
-REMEMBERED = 250_000
+#: Different pieces that a Python worker remembers, about 200 bytes each: at most some 150 MB beside the JVM, whatever the corpus.
+REMEMBERED = 750_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -44,6 +46,18 @@ class Remembering:
         return known
 
 
+def of_worker(name: str, make: Callable[[], object]):
+    """make(), once for each Python worker process and name; later tasks of that process get the same object.
+
+    Functions travel to the workers by value, with fresh globals for each task, so what shall outlive a task hangs on a module of
+    its own. Only values that follow from the name belong here: a worker that starts anew makes them again.
+    """
+    kept = sys.modules.setdefault("_tierweave_worker", types.ModuleType("_tierweave_worker")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def balanced(texts: Iterable[str], most: int) -> Iterator[list[str]]:
     """Batches of about equal size: each is closed before it would pass `most` characters; a longer text is a batch alone."""
     batch, size = [], 0
