@@ -474,6 +474,8 @@ SELECT * REPLACE (CAST(price AS DOUBLE) AS price) FROM (
 )"""
 ORACLE["append_rows"] = f"""{_with(_ORDER_LOADS)}
 SELECT * REPLACE (CAST(price AS DOUBLE) AS price) FROM (SELECT * FROM stored UNION ALL SELECT * FROM batch)"""
+ORACLE["truncate_and_reload"] = f"""{_with(_ORDER_LOADS)}
+SELECT * REPLACE (CAST(price AS DOUBLE) AS price), CAST(0 AS BIGINT) AS rows_between FROM batch"""
 ORACLE["ordered_write"] = "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS inversions FROM lineitem"
 ORACLE["warehouse_revenue"] = f"""{_with(_LINES, _RAW_EVENTS, _EVENTS, _TRAINS, _PASSENGERS, _SILVER)}
 SELECT CAST(CAST(paid_at AS DATE) AS VARCHAR) AS revenue_date, class_id, count(*) AS total_tickets,

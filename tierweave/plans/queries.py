@@ -683,6 +683,19 @@ def append_rows(spark: SparkSession, folder: str) -> DataFrame:
     return store.read(spec)
 
 
+@query
+def truncate_and_reload(spark: SparkSession, folder: str) -> DataFrame:
+    """A table emptied and loaded again holds the new load alone; rows_between counts what the empty table still had."""
+    store = _scratch_store(spark)
+    spec = _order_spec("orders_reloaded", "raw", Layout(order=("ticket_id",)))
+    stored, batch = _order_loads(spark, folder)
+    store.replace(spec, stored)
+    store.truncate(spec)
+    between = store.read(spec).count()
+    store.append(spec, batch)
+    return store.read(spec).withColumn("rows_between", F.lit(between).cast("long"))
+
+
 @query
 def ordered_write(spark: SparkSession, folder: str) -> DataFrame:
     """Line items stored in key order; inversions counts neighbours of a file that are out of order."""
