@@ -15,9 +15,10 @@ MAX_REPEAT_PERCENT = 20
 #: Components of the transformed vector, and the smallest standard deviation each is given: where nearly all
 #: texts of a group agree exactly, a covariance would else be singular and the slightest difference an outlier.
 FEATURES = {"f_length": 0.08, "f_symbol": 0.06, "f_lines": 0.15, "f_repeat": 0.10, "f_upper": 0.06, "f_mark": 0.08}
-#: Share of rows that an estimate rests on, and the concentration steps.
-SUPPORT = 0.75
-STEPS = 3
+#: Share of rows that an estimate rests on: with half of them, no smaller part can carry it away.
+SUPPORT = 0.5
+#: A group's concentration ends when the logarithm of its determinant falls by less than FALL, at the latest after STEPS steps.
+FALL, STEPS = 1e-3, 30
 #: Quantiles of the chi-squared distribution with six degrees of freedom: the median and 1 - 1e-4 (fixed values).
 CHI2_MEDIAN = 5.348
 CHI2_CUT = 27.86
@@ -126,12 +127,13 @@ def _inverted(estimates: DataFrame, scale: Column) -> DataFrame:
         out = out.withColumn(f"w{j}{j}", 1 / F.col(f"l{j}{j}"))
         for i in range(j + 1, d):
             out = out.withColumn(f"w{i}{j}", -sum((F.col(f"l{i}{k}") * F.col(f"w{k}{j}") for k in range(j, i)), F.lit(0.0)) / F.col(f"l{i}{i}"))
-    return out.select("grp", *(f"m{i}" for i in range(d)), *(f"w{i}{j}" for i, j in _pairs()))
+    out = out.withColumn("logdet", 2 * sum((F.log(f"l{j}{j}") for j in range(d)), F.lit(0.0)))
+    return out.select("grp", "logdet", *(f"m{i}" for i in range(d)), *(f"{x}{i}{j}" for x in "cw" for i, j in _pairs()))
 
 
-def _with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+def _with_distance(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
     f = _names()
-    joined = rows.join(broadcast_below(estimates, MOST_BROADCAST), "grp", "left")
+    joined = rows.join(broadcast_below(estimates, MOST_BROADCAST), "grp", how)
     parts = (sum((F.col(f"w{i}{j}") * (F.col(f[j]) - F.col(f"m{j}")) for j in range(i + 1)), F.lit(0.0)) for i in range(len(f)))
     distance = sum((p * p for p in parts), F.lit(0.0))
     return joined.withColumn("d2", distance).drop(*(c for c in estimates.columns if c != "grp"))
@@ -140,28 +142,37 @@ def _with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 def estimates(rows: DataFrame, steps: int = STEPS, support: float = SUPPORT) -> DataFrame:
     """Minimum-covariance-determinant estimates per group (column grp) of feature rows, by deterministic start and concentration.
 
-    Start: each component by its median and quartile range. Each step keeps the share `support` of a group's rows
-    with the smallest distances (threshold: a percentile sketch, accurate to 1/1,000 of the rows) and
-    takes their mean and covariance, which never raises the determinant. At the end the covariance is scaled so
-    that the median distance is the one of a normal sample.
+    Start: each component by its median and the median distance from it, which no smaller half of the rows moves far. Each step
+    keeps the share `support` of a group's rows with the smallest distances (threshold: a percentile sketch, accurate to
+    1/1,000 of the rows) and takes their mean and covariance, which lowers the determinant until it rests; groups that rest take no further
+    steps. At the end the covariance is scaled so that the median distance is the one of a normal sample.
     """
     d, f = len(FEATURES), _names()
-    quartiles = rows.groupBy("grp").agg(*(F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), ACCURACY).alias(f"q{i}") for i, x in enumerate(f)))
-    start = quartiles.select(
+    middles = staged(rows.groupBy("grp").agg(*(F.percentile_approx(x, F.lit(0.5), ACCURACY).alias(f"m{i}") for i, x in enumerate(f))))
+    off = rows.join(broadcast_below(middles, MOST_BROADCAST), "grp")
+    spreads = off.groupBy("grp").agg(*(F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), F.lit(0.5), ACCURACY).alias(f"s{i}") for i, x in enumerate(f)))
+    start = middles.join(spreads, "grp").select(
         "grp",
-        *(F.col(f"q{i}")[1].alias(f"m{i}") for i in range(d)),
-        *((((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349) ** 2 if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in _pairs()),
+        *(f"m{i}" for i in range(d)),
+        *(((1.4826 * F.col(f"s{i}")) ** 2 if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in _pairs()),
     )
-    now = staged(_inverted(start, F.lit(1.0)))
+    now = staged(_inverted(start, F.lit(1.0)).withColumn("logdet", F.lit(float("inf"))))
+    rested = now.limit(0)
     for _ in range(steps):
         far = _with_distance(rows, now)
         edge = staged(far.groupBy("grp").agg(F.percentile_approx("d2", F.lit(support), ACCURACY).alias("edge")))
         core = far.join(broadcast_below(edge, MOST_BROADCAST), "grp").where("d2 <= edge")
-        moments = staged(_moments(core, ["grp"]))
-        now = staged(_inverted(moments, F.lit(1.0)))
-    middle = _with_distance(rows, now).groupBy("grp").agg(F.percentile_approx("d2", F.lit(0.5), ACCURACY).alias("middle"))
+        before = now.select("grp", F.col("logdet").alias("before"))
+        after = staged(_inverted(_moments(core, ["grp"]), F.lit(1.0)).join(before, "grp"))
+        falls = F.col("logdet") < F.col("before") - FALL
+        rested = rested.unionByName(after.where(~falls).drop("before"))
+        now = after.where(falls).drop("before")
+        if now.isEmpty():
+            break
+    final = staged(rested.unionByName(now))
+    middle = _with_distance(rows, final).groupBy("grp").agg(F.percentile_approx("d2", F.lit(0.5), ACCURACY).alias("middle"))
     scale = F.greatest(F.lit(1.0), F.col("middle") / CHI2_MEDIAN)
-    return staged(_inverted(moments.join(middle, "grp"), scale))
+    return staged(_inverted(final.join(middle, "grp"), scale))
 
 
 def robust_outliers(
@@ -191,7 +202,7 @@ def robust_outliers(
     whole = shaped.withColumn("grp", F.lit("all"))
     fitted = estimates(grouped(shaped).where("grp != 'all'").select("grp", *FEATURES).unionByName(whole.select("grp", *FEATURES)))
     enough = usable.limit(min_group).count() >= min_group
-    judged = _with_distance(grouped(named), fitted if enough else fitted.limit(0))
+    judged = _with_distance(grouped(named), fitted if enough else fitted.limit(0), "left")
     verdict = ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= cut)
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
