@@ -25,3 +25,13 @@ def test_a_third_of_copies_is_rejected(spark):
     junk = " ".join(f"{w}***" for w in prose(rng, 120).split())
     kept = judged(spark, [*clean, *[junk] * 120])
     assert all(kept[i] for i in range(240)) and not any(kept[i] for i in range(240, 360))
+
+
+@pytest.mark.parametrize("every", [1, 3])
+def test_symbol_heavy_texts_are_rejected(spark, every):
+    """A symbol at each word, or two at every third one, in texts of 15 to 300 words."""
+    rng = np.random.default_rng(12)
+    clean = [prose(rng, int(n)) for n in rng.integers(15, 300, 300)]
+    heavy = [" ".join(w + ("#" if every == 1 else "##") * (k % every == 0) for k, w in enumerate(prose(rng, n).split())) for n in (15, 20, 40, 60, 120, 180, 240, 300)]
+    kept = judged(spark, [*clean, *heavy])
+    assert sum(kept[i] for i in range(300)) >= 299 and not any(kept[i] for i in range(300, 308))
