@@ -1,11 +1,11 @@
-"""The registered queries op1 to op10: each applies its operator to a whole table and derives the digest columns."""
+"""The registered queries op1 to op13: each applies its operator to a whole table and derives the digest columns."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierweave.llm import exact_dedup, html_text, language_id, outliers, packing, secrets, segmentation, simhash, token_counts, toxicity
+from tierweave.llm import byte_pairs, exact_dedup, html_text, language_id, merkle, outliers, packing, secrets, segmentation, simhash, token_counts, toxicity, whitening
 from tierweave.llm.common import table
 
 
@@ -59,6 +59,18 @@ def op10_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model)
 
 
-QUERIES = {f.__name__: f for f in (op1_robust_outliers, op2_gumbel_segmentations, op3_vector_packing, op4_rank_order_profiles, op5_golay_simhash, op6_content_sort_dedup, op7_block_tree_text, op8_secret_ownership, op9_token_lengths, op10_ordinal_toxicity)}
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_proofs(table(spark, sf_dir, "documents"))
 
-ORACLE = {"op6_content_sort_dedup": exact_dedup.SQL, "op8_secret_ownership": secrets.sql()}
+
+def op12_linked_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_pairs.digests(byte_pairs.encode_texts(table(spark, sf_dir, "documents")))
+
+
+def op13_shifted_choleskyqr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_robust_outliers, op2_gumbel_segmentations, op3_vector_packing, op4_rank_order_profiles, op5_golay_simhash, op6_content_sort_dedup, op7_block_tree_text, op8_secret_ownership, op9_token_lengths, op10_ordinal_toxicity, op11_merkle_manifest, op12_linked_byte_pairs, op13_shifted_choleskyqr)}
+
+ORACLE = {"op6_content_sort_dedup": exact_dedup.SQL, "op8_secret_ownership": secrets.sql(), "op11_merkle_manifest": merkle.SQL}
