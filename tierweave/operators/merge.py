@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ def upsert(
     null_safe: bool = True,
     match_null_keys: bool = True,
     keep_absent: bool = True,
+    log: Sequence[str] = (),
 ) -> DataFrame:
     """Insert new keys, replace rows whose ``compare`` columns changed, leave the others untouched.
 
@@ -27,16 +28,16 @@ def upsert(
     a real change. The batch holds one row per key. ``null_safe=False`` compares with ``<>``, which
     cannot see a change from or to NULL; ``match_null_keys=False`` matches keys with ``=``, which inserts
     a NULL-key row again on every run. Both exist to reproduce tables built that way. ``keep_absent=False`` takes the
-    batch as complete: stored keys that it lacks go away.
+    batch as complete: stored keys that it lacks go away. ``log`` adds ``_changed`` and, for changed rows, those
+    columns as they were in ``_before``.
     """
     compare = [c for c in target.columns if c not in keys] if compare is None else compare
     paired = _pair(target, batch, keys, match_null_keys)
     if not keep_absent:
         paired = paired.where(F.col("_new_here").isNotNull())
     take_new = _only_new() | (_both() & _differs(compare, null_safe))
-    return paired.select(
-        *[F.when(take_new, _new(c)).otherwise(_old(c)).alias(c) for c in target.columns]
-    )
+    settled = {c: F.when(take_new, _new(c)).otherwise(_old(c)) for c in target.columns}
+    return paired.select(*[v.alias(c) for c, v in settled.items()], *_log(settled, log))
 
 
 def changed_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], compare: Sequence[str]) -> DataFrame:
@@ -48,27 +49,22 @@ def changed_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], compa
 
 
 def fold_history(
-    target: DataFrame, batch: DataFrame, key: str, order: str, milestones: Sequence[str]
+    target: DataFrame, batch: DataFrame, key: str, order: str, milestones: Sequence[str], log: Sequence[str] = ()
 ) -> DataFrame:
     """Fold collapsed increments into the stored fact without reading the event history again.
 
     Latest row and milestone times are maxima, so combining the stored row with the increment gives what
     collapsing all events would: the later of the two rows, and the later of each milestone. An older
-    increment only adds milestones.
+    increment only adds milestones. ``log`` is that of ``upsert``.
     """
     paired = _pair(target, batch, [key])
     newer = F.coalesce(_new(order) >= _old(order), _new(order).isNotNull())
     take_new = _only_new() | (_both() & newer)
-    return paired.select(
-        *[
-            (
-                F.greatest(_old(c), _new(c))
-                if c in milestones
-                else F.when(take_new, _new(c)).otherwise(_old(c))
-            ).alias(c)
-            for c in target.columns
-        ]
-    )
+    settled = {
+        c: F.greatest(_old(c), _new(c)) if c in milestones else F.when(take_new, _new(c)).otherwise(_old(c))
+        for c in target.columns
+    }
+    return paired.select(*[v.alias(c) for c, v in settled.items()], *_log(settled, log))
 
 
 def scd1_merge(
@@ -221,6 +217,22 @@ def _pair(
     return old.join(new, on, "full_outer")
 
 
+def _log(settled: Mapping[str, Column], log: Sequence[str]) -> list[Column]:
+    """Whether a pair ends other than it was stored, and what the logged columns were then."""
+    if not log:
+        return []
+    changed = _only_new() | reduce(or_, [~_old(c).eqNullSafe(v) for c, v in settled.items()])
+    before = F.when(F.col("_old_here") & changed, F.struct(*[_old(c).alias(c) for c in log]))
+    return [changed.alias("_changed"), before.alias("_before")]
+
+
+def of_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], inside: bool = True) -> DataFrame:
+    """Rows whose keys are (or are not) among the groups; NULL keys are equal to each other."""
+    wanted = groups.select(*[F.col(k).alias(f"_group_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_group_{k}")) for k in keys])
+    return rows.join(wanted, same, "left_semi" if inside else "left_anti")
+
+
 def _old(column: str) -> Column:
     return F.col(f"_old_{column}")
 

@@ -7,6 +7,8 @@ extra. Money sums are cast back to the declared two-decimal type.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,16 @@ def _refunded() -> Column:
     return F.col("refunded_at").isNotNull()
 
 
+def groups_of(tickets: DataFrame, moment: str, keys: Sequence[str], by_time: bool = False) -> DataFrame:
+    """Distinct groups that tickets fall into, for a summary whose first key is the day (or, ``by_time``, the time) of ``moment``.
+
+    A ticket whose ``moment`` is NULL is in the group of NULL; summaries that leave such tickets out have no such group.
+    """
+    first, *others = keys
+    when = F.col(moment) if by_time else day_of(moment)
+    return tickets.select(when.alias(first), *others).distinct()
+
+
 def revenue_daily(tickets: DataFrame) -> DataFrame:
     """Paid tickets per payment day, route and class."""
     paid = tickets.where(_paid()).withColumn("revenue_date", day_of("paid_at"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tierweave.plans.queries import SUMMARY_METRICS
+
 
 def _half_up(number: str, divisor: str, places: int) -> str:
     """Exact ``round(number / divisor, places)`` of integers, halves away from zero, as double."""
@@ -371,6 +373,7 @@ FROM batch s LEFT JOIN stored t ON s.id = t.id WHERE t.id IS NULL OR ({changed})
 
 _CHANGED = "s.gender IS DISTINCT FROM t.gender OR s.phone IS DISTINCT FROM t.phone"
 ORACLE["scd2_merge"] = _scd2(_CHANGED)
+ORACLE["publish_dimension"] = _scd2(_CHANGED)
 ORACLE["scd2_expire_and_open"] = _scd2(_CHANGED)
 ORACLE["merge_idempotent"] = _scd2(_CHANGED)
 ORACLE["scd2_null_unsafe"] = _scd2("coalesce(s.gender <> t.gender OR s.phone <> t.phone, false)")
@@ -483,17 +486,36 @@ SELECT CAST(CAST(paid_at AS DATE) AS VARCHAR) AS revenue_date, class_id, count(*
   CAST(coalesce(sum(final_price) FILTER (WHERE refunded_at IS NOT NULL), 0) AS DOUBLE) AS refunded_revenue
 FROM silver WHERE paid_at IS NOT NULL GROUP BY 1, 2"""
 
-_ALL_SILVER = _with(_LINES, _RAW_EVENTS, _EVENTS, _TRAINS, _PASSENGERS, _SILVER)
-ORACLE["gold_after_second_window"] = f"""{_ALL_SILVER}
-SELECT 'cancellation_summary' AS summary, CAST(CAST(created_at AS DATE) AS VARCHAR) AS day, class_id, count(*) AS tickets
-FROM silver GROUP BY 2, 3
-UNION ALL
-SELECT 'revenue_daily', CAST(CAST(paid_at AS DATE) AS VARCHAR), class_id, count(*) FROM silver WHERE paid_at IS NOT NULL GROUP BY 2, 3
-UNION ALL
-SELECT 'refund_loss', CAST(CAST(refunded_at AS DATE) AS VARCHAR), class_id, count(*) FROM silver WHERE refunded_at IS NOT NULL GROUP BY 2, 3
-UNION ALL
-SELECT 'train_performance', CAST(CAST(departure_date AS DATE) AS VARCHAR), CAST(NULL AS INTEGER), count(*) FILTER (paid_at IS NOT NULL)
-FROM silver GROUP BY 2"""
+_SOURCE_TRAINS = """trains AS (
+  SELECT r_regionkey AS sk_id, r_regionkey + 1 AS id, lower(r_name) || ' express' AS name,
+    CASE WHEN r_regionkey > 0 THEN 'business' ELSE 'unknown' END AS type, r_regionkey + 1500 AS capacity,
+    TIMESTAMP '1995-01-01' AS start_date, CAST(NULL AS TIMESTAMP) AS end_date
+  FROM region
+)"""
+_SUMMARIES = {
+    "cancellation_summary": "cancellation",
+    "revenue_daily": f"(SELECT {_REVENUE_OUT} FROM revenue)",
+    "refund_loss": "refund",
+    "train_performance": "performance",
+}
+
+
+def _metrics() -> str:
+    lines = []
+    for name, (day, cls, metrics) in SUMMARY_METRICS.items():
+        for metric in metrics.split():
+            lines.append(
+                f"SELECT '{name}' AS summary, CAST(CAST({day} AS DATE) AS VARCHAR) AS day, {cls or 'CAST(NULL AS INTEGER)'} AS class_id, "
+                f"'{metric}' AS metric, round(sum(CAST({metric} AS DOUBLE)), 4) AS value FROM {_SUMMARIES[name]} GROUP BY 2, 3"
+            )
+    return "\nUNION ALL ".join(lines)
+
+
+ORACLE["gold_after_second_window"] = f"""{_with(
+    _LINES, _RAW_EVENTS, _EVENTS, _SOURCE_TRAINS, _PASSENGERS, _SILVER, "tickets AS (SELECT * FROM silver)",
+    _CANCELLATION, _REVENUE, _REFUND, _PERFORMANCE,
+)}
+{_metrics()}"""
 
 # --- quality -----------------------------------------------------------------------------------------
 
@@ -797,3 +819,55 @@ ORACLE["dq_suite_routes"] = _all(
     _size("routes"),
     head=_with(_ROUTES),
 )
+ORACLE["dq_suite_bronze"] = _all(
+    *_complete("raw_events", "id", level="warning"),
+    head=_with(_LINES, _RAW_EVENTS),
+)
+_CLEAN_TRAINS = f"clean_trains AS ({ORACLE['normalize_trains']})"
+ORACLE["dq_suite_trains"] = _all(
+    _share_line("clean_trains", "sk_id is complete", "complete", "false"),
+    *_complete("clean_trains", "id", "name", "type", "capacity", "is_active", "start_date"),
+    _unique_line("clean_trains", "sk_id is unique", "unique", "id"),
+    _bound("clean_trains", "name has 3 or more characters", "min_length", "length(name)", "length(name) < 3", "warning"),
+    _bound("clean_trains", "name has 100 or fewer characters", "max_length", "length(name)", "length(name) > 100", "warning"),
+    _share_line(
+        "clean_trains", "type in economy, business, executive, unknown", "contained",
+        "type NOT IN ('economy', 'business', 'executive', 'unknown')", "warning",
+    ),
+    _bound("clean_trains", "min id > 0", "min", "id", "id <= 0"),
+    _bound("clean_trains", "min capacity > 0", "min", "capacity", "capacity <= 0"),
+    _bound("clean_trains", "max capacity <= 2000", "max", "capacity", "capacity > 2000"),
+    _holds("clean_trains", "range ends after it starts", "end_date IS NULL OR end_date >= start_date"),
+    _size("clean_trains"),
+    head=_with(_CLEAN_TRAINS),
+)
+_CLEAN_STATIONS = f"clean_stations AS ({ORACLE['normalize_stations']})"
+ORACLE["dq_suite_stations"] = _all(
+    _share_line("clean_stations", "sk_id is complete", "complete", "false"),
+    *_complete("clean_stations", "id", "name", "city", "code", "is_deleted"),
+    _unique_line("clean_stations", "sk_id is unique", "unique", "id"),
+    *[
+        line
+        for column, least, most in (("name", 3, 100), ("city", 2, 50), ("code", 2, 5))
+        for line in (
+            _bound("clean_stations", f"{column} has {least} or more characters", "min_length", f"length({column})", f"length({column}) < {least}", "warning"),
+            _bound("clean_stations", f"{column} has {most} or fewer characters", "max_length", f"length({column})", f"length({column}) > {most}", "warning"),
+        )
+    ],
+    _holds("clean_stations", "station code format", "regexp_matches(code, '^[a-z0-9]+$')", "warning"),
+    _bound("clean_stations", "min id > 0", "min", "id", "id <= 0"),
+    _size("clean_stations"),
+    head=_with(_CLEAN_STATIONS),
+)
+ORACLE["incremental_window_pushed"] = ORACLE["incremental_window_text"]
+_ORDER_LINE = """'{"_id":' || o_orderkey || ',"status":"' || o_orderstatus || '","cents":'"""
+ORACLE["rescued_documents"] = f"""
+WITH lines AS (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)
+SELECT 'read' AS part, o_orderkey AS order_key, o_orderstatus AS status, cents, CAST(NULL AS VARCHAR) AS document
+FROM lines WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW')
+UNION ALL
+SELECT 'rejected', NULL, NULL, NULL, {_ORDER_LINE} || CASE WHEN o_orderpriority = '5-LOW' THEN '"dear","more":[1]}}' ELSE cents::VARCHAR END
+FROM lines WHERE o_orderpriority IN ('1-URGENT', '5-LOW')"""
+ORACLE["gated_runs"] = f"""{_with(_LINES, _RAW_EVENTS, _EVENTS)}
+SELECT step, CASE WHEN step = 'may publish' THEN (SELECT count(DISTINCT ticket_id) FROM events_clean) ELSE 0 END AS published
+FROM (VALUES ('nothing in the window'), ('routes missing'), ('other schema'), ('rules fail'), ('may publish')) AS t(step)"""

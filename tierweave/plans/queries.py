@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, timedelta
 from functools import reduce
 from uuid import uuid4
@@ -14,13 +15,14 @@ from pyspark.sql import types as T
 from tierweave.operators import cleaning, dimensions, history, merge, quality, rollups
 from tierweave.plans import bindings as b
 from tierweave.plans import suites
-from tierweave.plans.tables import SPECS
+from tierweave.plans.tables import RUN_ORDER, SPECS
 from tierweave.plans.tickets import ticket_fact
 from tierweave.plans.warehouse import Warehouse, source_from
 from tierweave.functions import money, surrogate_key
+from tierweave.sources.collections import Collection
 from tierweave.sources.incremental import DateWindow
 from tierweave.sources.layout import Layout, TableSpec
-from tierweave.sources.store import TableStore, pin_utc, shared_folder
+from tierweave.sources.store import TableStore, folders_of, pin_utc, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,15 +105,18 @@ def normalize_passengers(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def normalize_trains(spark: SparkSession, folder: str) -> DataFrame:
+    return cleaning.silver_trains(_part_trains(spark, folder)).drop("sk_id")
+
+
+def _part_trains(spark: SparkSession, folder: str) -> DataFrame:
     """Parts as trains: one type is unknown, small parts have no capacity."""
-    raw = b.table(spark, folder, "part").select(
+    return b.table(spark, folder, "part").select(
         F.col("p_partkey").cast("int").alias("id"),
         F.concat(F.lit(" "), F.upper("p_name")).alias("name"),
         F.when(F.col("p_type") != "SMALL", F.concat("p_type", F.lit(" "))).alias("type"),
         F.when(F.col("p_size") > 5, F.col("p_size")).alias("capacity"),
         F.lit(b.FIRST_LOAD).cast("timestamp").alias("updated_at"),
     )
-    return cleaning.silver_trains(raw).drop("sk_id")
 
 
 @query
@@ -172,6 +177,34 @@ def incremental_window_text(spark: SparkSession, folder: str) -> DataFrame:
     return joined.groupBy("c_mktsegment").agg(F.count("*").alias("rows"))
 
 
+@query
+def incremental_window_pushed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same window over orders stored as documents: its bounds reach the scan of the collection."""
+    landing = f"{_scratch_store(spark).root}/landing/orders"
+    orders = b.table(spark, folder, "orders").select("o_orderkey", "o_custkey", b.iso_text("o_orderdate").alias("created_at"))
+    orders.write.parquet(landing)
+    collection = Collection("o_orderkey BIGINT, o_custkey BIGINT, created_at STRING", "created_at", landing, "parquet", bounds="text")
+    kept = collection.read(spark, ORDER_WINDOW)
+    customers = b.table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
+    joined = kept.join(customers, kept.o_custkey == customers.c_custkey, "left")
+    return joined.groupBy("c_mktsegment").agg(F.count("*").alias("rows"))
+
+
+@query
+def rescued_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as line JSON, of which urgent ones are cut off and unhurried ones have a price that is no number; both parts read back."""
+    landing = f"{_scratch_store(spark).root}/landing/orders"
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string")
+    price = F.when(F.col("o_orderpriority") == "5-LOW", '"dear"').otherwise(cents)
+    line = F.concat(F.lit('{"_id":'), "o_orderkey", F.lit(',"status":"'), "o_orderstatus", F.lit('","cents":'), price)
+    whole = F.when(F.col("o_orderpriority") == "1-URGENT", line).otherwise(F.concat(line, F.lit(',"more":[1]}')))
+    b.table(spark, folder, "orders").select(whole.alias("value")).write.text(landing)
+    good, rejected = Collection("_id BIGINT, status STRING, cents BIGINT", "created_at", landing).read_rescued(spark)
+    return good.select(F.lit("read").alias("part"), F.col("_id").alias("order_key"), "status", "cents", F.lit(None).cast("string").alias("document")).unionByName(
+        rejected.select(F.lit("rejected").alias("part"), "document"), allowMissingColumns=True
+    )
+
+
 # --- histories ---------------------------------------------------------------------------------------
 
 
@@ -634,6 +667,21 @@ def dq_suite_routes(spark: SparkSession, folder: str) -> DataFrame:
     return quality.evaluate(dimensions.enrich_routes(routes, stations, trains), suites.routes())
 
 
+@query
+def dq_suite_bronze(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.evaluate(_bronze(spark, folder, "tickets"), suites.bronze())
+
+
+@query
+def dq_suite_trains(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.evaluate(cleaning.silver_trains(_part_trains(spark, folder)), suites.trains())
+
+
+@query
+def dq_suite_stations(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.evaluate(cleaning.silver_stations(_bronze(spark, folder, "stations")), suites.stations())
+
+
 # --- storing and publishing --------------------------------------------------------------------------
 
 _ORDERS = "ticket_id BIGINT, status STRING, price DECIMAL(18,2), created_at TIMESTAMP"
@@ -649,7 +697,7 @@ def _order_spec(name: str, kind: str, layout: Layout) -> TableSpec:
 
 @query
 def publish_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored orders by month, a merge that moves rows between months, published from staging."""
+    """Stored orders by month, a merge that moves rows between months, published as one snapshot."""
     store = _scratch_store(spark)
     layout = Layout(by_month="created_at", bucket="ticket_id", buckets=2, order=("ticket_id",))
     spec = _order_spec("orders_by_month", "fact", layout)
@@ -657,8 +705,25 @@ def publish_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     store.append(spec, stored)
     affected = store.affected_partitions(spec, batch)
     merged = merge.upsert(store.read_partitions(spec, affected), store.stage(spec, batch, "batch"), spec.keys)
-    store.stage(spec, merged, "result")
-    store.publish(spec, affected)
+    store.publish(spec, store.write(spec, merged), folders_of(spec, affected))
+    return store.read(spec)
+
+
+@query
+def publish_dimension(spark: SparkSession, folder: str) -> DataFrame:
+    """A bucketed dimension of versions: a merge that is given up before it is published, and the same merge published. Only the
+    buckets that hold keys of the batch are read and written."""
+    store = _scratch_store(spark)
+    spec = replace(SPECS["silver", "passengers"], name="people", ddl=SPECS["silver", "passengers"].ddl.replace("id INT", "id BIGINT"))
+    store.replace(spec, b.first_passengers(spark, folder))
+    batch = store.stage(spec, b.second_passengers(spark, folder), "batch")
+    affected = store.affected_partitions(spec, batch)
+    merged = merge.scd2_merge(store.read_partitions(spec, affected), batch, "id", _PASSENGER)
+    store.discard(spec, store.write(spec, merged.limit(1)))
+    batch = store.stage(spec, b.second_passengers(spark, folder), "batch")
+    merged = merge.scd2_merge(store.read_partitions(spec, affected), batch, "id", _PASSENGER)
+    store.publish(spec, store.write(spec, merged), folders_of(spec, affected))
+    store.discard(spec)
     return store.read(spec)
 
 
@@ -685,9 +750,9 @@ def append_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def truncate_and_reload(spark: SparkSession, folder: str) -> DataFrame:
-    """A table emptied and loaded again holds the new load alone; rows_between counts what the empty table still had."""
+    """A table by month, emptied and loaded again, holds the new load alone; rows_between counts what the empty table still had."""
     store = _scratch_store(spark)
-    spec = _order_spec("orders_reloaded", "raw", Layout(order=("ticket_id",)))
+    spec = _order_spec("orders_reloaded", "raw", Layout(by_month="created_at", order=("ticket_id",)))
     stored, batch = _order_loads(spark, folder)
     store.replace(spec, stored)
     store.truncate(spec)
@@ -711,7 +776,7 @@ def ordered_write(spark: SparkSession, folder: str) -> DataFrame:
     store.replace(spec, lines)
     in_file = Window.partitionBy("_metadata.file_path").orderBy("_metadata.row_index")
     key = F.struct("ticket_id", "price")
-    stored = spark.read.schema(_ORDERS).parquet(store.path(spec))
+    stored = store.read_parts(spec, store.snapshot(spec).parts)
     checked = stored.select((F.lag(key).over(in_file) > key).alias("inverted"))
     return checked.agg(F.count(F.lit(1)).alias("rows"), F.count_if("inverted").alias("inversions"))
 
@@ -732,6 +797,8 @@ def warehouse_revenue(spark: SparkSession, folder: str) -> DataFrame:
     warehouse.run_stage("silver", window)
     warehouse.run_table("gold", "revenue_daily", window)
     revenue = store.read(SPECS["gold", "revenue_daily"])
+    store.remove(f"{store.root}/bronze")
+    store.remove(f"{store.root}/silver")
     return revenue.groupBy("revenue_date", "class_id").agg(
         F.sum("total_tickets").alias("total_tickets"),
         money(F.sum("net_revenue")).alias("net_revenue"),
@@ -739,6 +806,48 @@ def warehouse_revenue(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+class _OtherSchema(Warehouse):
+    """A transform that has come to give a column the declaration does not know."""
+
+    def _transform(self, spec: TableSpec, batch: DataFrame) -> DataFrame:
+        return super()._transform(spec, batch).withColumn("seat_row", F.lit(1))
+
+
+@query
+def gated_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Published tickets after each of several runs: nothing in the window, routes that are not stored yet, a transform of another
+    schema, rules that fail, and a run that may publish."""
+    store = _scratch_store(spark)
+    sources = b.sources(spark, folder)
+    some_routes = sources["routes"].where(F.col("_id") % 2 == 0)
+    warehouse = Warehouse(store, source_from(sources | {"routes": some_routes}))
+    start, _, end = _source_days(sources)
+    window, before = DateWindow(start, end), DateWindow("1990-01-01", start)
+    steps: list[tuple[str, int]] = []
+
+    def attempt(step: str, warehouse: Warehouse, window: DateWindow, blocked_by: str | None = None, **more) -> None:
+        try:
+            warehouse.run_table("silver", "tickets", window, **more)
+        except quality.QualityError as e:
+            if blocked_by is None or blocked_by not in str(e):
+                raise
+        steps.append((step, store.read(SPECS["silver", "tickets"]).count()))
+
+    warehouse.bootstrap()
+    warehouse.run_stage("bronze", window)
+    attempt("nothing in the window", warehouse, before)
+    warehouse.run_stage("silver", window, [n for n in RUN_ORDER["silver"] if n != "tickets"])
+    attempt("routes missing", warehouse, window, "route_id resolves to id")
+    warehouse.source = source_from(sources)
+    warehouse.run_table("bronze", "routes", window)
+    warehouse.run_table("silver", "routes", window)
+    attempt("other schema", _OtherSchema(store), window, "seat_row: declared nothing")
+    attempt("rules fail", warehouse, window, "max price <= 0", rules=[quality.at_most("price", 0)])
+    attempt("may publish", warehouse, window)
+    store.drop()
+    return spark.createDataFrame(steps, "step STRING, published BIGINT")
+
+
 def _source_days(sources: dict[str, DataFrame]) -> tuple[str, str, str]:
     """First day, middle day and the day after the last over the window columns of all sources."""
     moments = [
@@ -748,10 +857,34 @@ def _source_days(sources: dict[str, DataFrame]) -> tuple[str, str, str]:
     return _thirds(reduce(DataFrame.unionByName, moments), "at")
 
 
+#: Per summary: the column of its day, that of its class, and its metrics.
+SUMMARY_METRICS = {
+    "cancellation_summary": (
+        "booking_date", "class_id",
+        "total_tickets_created total_tickets_paid total_tickets_cancelled total_tickets_refunded cancelled_before_payment cancelled_after_payment "
+        "cancelled_not_yet_refunded total_revenue_lost avg_hours_to_cancel cancellation_rate cancelled_after_payment_rate",
+    ),
+    "revenue_daily": (
+        "revenue_date", "class_id",
+        "total_tickets gross_revenue total_discount_calculated net_revenue refunded_revenue net_revenue_after_refund avg_ticket_price",
+    ),
+    "refund_loss": (
+        "refund_date", "class_id",
+        "total_tickets_refunded total_refund_amount avg_refund_amount avg_days_cancel_to_refund avg_hours_to_refund avg_days_created_to_refund "
+        "total_refunded_with_promo total_refunded_with_family_flag",
+    ),
+    "train_performance": (
+        "departure_date", None,
+        "capacity total_tickets_sold total_cancelled_tickets net_tickets_sold total_revenue family_ticket_count promo_ticket_count "
+        "cancelled_after_departure_flag occupancy_rate is_fully_booked",
+    ),
+}
+
+
 @query
 def gold_after_second_window(spark: SparkSession, folder: str) -> DataFrame:
-    """All layers in two windows; tickets booked in the first move to another day in the second. Tickets per summary,
-    day and class at the end."""
+    """All layers in two windows, with their checks; tickets booked in the first move to another day in the second, and summaries
+    follow the change log of the fact. Every metric per day and class at the end, added up over routes, whose keys are hashes."""
     store = _scratch_store(spark)
     sources = b.sources(spark, folder)
     warehouse = Warehouse(store, source_from(sources))
@@ -759,18 +892,13 @@ def gold_after_second_window(spark: SparkSession, folder: str) -> DataFrame:
     warehouse.bootstrap()
     for window in (DateWindow(start, middle), DateWindow(middle, end)):
         for layer in ("bronze", "silver", "gold"):
-            warehouse.run_stage(layer, window, check=False)
-    summaries = {
-        "cancellation_summary": ("booking_date", "class_id", "total_tickets_created"),
-        "revenue_daily": ("revenue_date", "class_id", "total_tickets"),
-        "refund_loss": ("refund_date", "class_id", "total_tickets_refunded"),
-        "train_performance": ("departure_date", None, "total_tickets_sold"),
-    }
-    parts = [
-        store.read(SPECS["gold", name])
-        .groupBy(F.to_date(day).alias("day"), (F.col(cls) if cls else F.lit(None).cast("int")).alias("class_id"))
-        .agg(F.sum(tickets).alias("tickets"))
-        .select(F.lit(name).alias("summary"), "day", "class_id", "tickets")
-        for name, (day, cls, tickets) in summaries.items()
-    ]
+            warehouse.run_stage(layer, window)
+    parts = []
+    for name, (day, cls, metrics) in SUMMARY_METRICS.items():
+        entries = [F.struct(F.lit(m).alias("metric"), F.round(F.sum(F.col(m).cast("double")), 4).alias("value")) for m in metrics.split()]
+        keys = [F.to_date(day).alias("day"), (F.col(cls) if cls else F.lit(None).cast("int")).alias("class_id")]
+        sums = store.read(SPECS["gold", name]).groupBy(*keys).agg(F.array(*entries).alias("entries"))
+        parts.append(sums.select(F.lit(name).alias("summary"), "day", "class_id", F.inline("entries")))
+    store.remove(f"{store.root}/bronze")
+    store.remove(f"{store.root}/silver")
     return reduce(DataFrame.unionByName, parts)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,14 @@ class Layout:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """``kind``: ``raw`` replaces whole partitions; the others are merged on ``keys``."""
+    """``kind``: ``raw`` replaces whole partitions; the others are merged on ``keys``.
+
+    ``indexed`` names time columns whose first and last day are kept for every written partition. A merge of a table with a
+    ``log`` marks the rows it adds or changes and keeps those columns as they were before, so that what was made from the
+    table can follow it. ``moment`` is the column of the first dependency whose day is the first of a summary's keys;
+    a summary that ``needs_moment`` leaves out rows where it is NULL. ``references`` are (column, table, key): what a batch's
+    column has to find in a stored silver dimension before the table may run.
+    """
 
     name: str
     layer: str
@@ -41,6 +48,11 @@ class TableSpec:
     window_field: str | None = None
     depends_on: tuple[str, ...] = ()
     layout: Layout = field(default_factory=Layout)
+    indexed: tuple[str, ...] = ()
+    log: tuple[str, ...] = ()
+    moment: str | None = None
+    needs_moment: bool = False
+    references: tuple[tuple[str, str, str], ...] = ()
 
 
 def partition_columns(layout: Layout) -> list[str]:
@@ -124,4 +136,4 @@ def _either(terms: list[Column]) -> Column:
 
 def partition_folder(layout: Layout, values: Sequence) -> str:
     pairs = zip(partition_columns(layout), values)
-    return "/".join(f"{name}={_NULL_PARTITION if v is None else v}" for name, v in pairs)
+    return "/".join(f"{name}={NULL_PARTITION if v is None else v}" for name, v in pairs)
