@@ -3,9 +3,11 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tests.conftest import rows
-from tierweave.operators import merge
+from tierweave.operators import merge, skew
 from tierweave.operators.history import TICKET_MILESTONES, collapse_history
 
 
@@ -260,3 +262,38 @@ def test_new_rows_only(spark):
     assert rows(merge.new_rows(stored, batch, "id"), "id") == [(7,)]
     closed = spark.createDataFrame([version(6, 2, "first", "1", 0, 5)], PERSON)
     assert rows(merge.new_rows(closed, batch, "id", active_only=True), "id") == [(1,), (2,), (3,), (4,), (7,)]
+
+
+@pytest.mark.parametrize("staged", [False, True])
+def test_scd2_chain_of_one_key_within_one_day(spark, staged, tmp_path):
+    """Ranges split a day: the chain is that of plain windows, and no task gets much more than the rows of a range."""
+    at = F.expr("timestamp'2024-01-02 00:00:00' + make_dt_interval(0, 0, 0, id * 10)")
+    content = F.concat(F.lit("n"), F.floor(F.col("id") / 3).cast("string"))
+    rest = [F.lit(True).alias("is_active"), at.alias("start_date"), F.lit(None).cast("timestamp").alias("end_date")]
+    batch = spark.range(4000).select(F.col("id").cast("int").alias("sk_id"), F.lit(1).alias("id"), content.alias("name"), F.lit(None).cast("string").alias("phone"), *rest)
+    batch = batch.select(*[F.col(f.name).cast(f.dataType) for f in T.StructType.fromDDL(PERSON)])
+    stored = spark.createDataFrame([], PERSON)
+    calls = []
+
+    def stage(df, name):
+        calls.append(name)
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    got = merge.scd2_merge(stored, batch, "id", TRACKED, hot_rows=100, stage=stage if staged else None)
+    assert rows(got) == rows(merge.scd2_merge(stored, batch, "id", TRACKED)) and got.count() == 1334
+    assert calls == (["hot_keys", "versions", "kept"] if staged else [])
+    hot = skew.hot_ranges(batch.select("id", "start_date"), 100)
+    slots = skew.with_range_slots(batch, "id", "start_date", hot).groupBy(skew.SLOT).count().collect()
+    assert len(slots) == 40 and max(r["count"] for r in slots) <= 200
+
+
+def test_range_slots_of_equal_and_missing_times(spark):
+    df = spark.createDataFrame([(1, None)] * 5 + [(1, day(1))] * 30 + [(1, day(2))] * 5 + [(2, day(1))] + [(None, day(1))] * 50, "k INT, t TIMESTAMP")
+    hot = skew.hot_ranges(df, 10)
+    assert rows(hot, "k") == [(1,)]
+    slots = skew.with_range_slots(df, "k", "t", hot).groupBy("k", skew.SLOT).count().collect()
+    assert {(r.k, r[skew.SLOT]) for r in slots if r.k != 1} == {(2, None), (None, None)}
+    assert sum(r["count"] for r in slots if r.k == 1) == 40 and len([r for r in slots if r.k == 1]) >= 2
+    nothing = skew.hot_ranges(df.where("k = 2"), 10)
+    assert nothing.isEmpty() and rows(skew.hot_ranges(spark.createDataFrame([(3, None)] * 20, "k INT, t TIMESTAMP"), 10)) == [(3, [])]

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierweave.operators.skew import HOT_ROWS, carried, hot_keys, neighbour, with_slots
+from tierweave.operators.skew import HOT_ROWS, SLOT, hot_ranges, neighbour, only_hot, with_range_slots
 
 
 def upsert(
@@ -150,6 +150,7 @@ def scd2_merge(
     key: str,
     tracked: Sequence[str],
     hot_rows: int = HOT_ROWS,
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Versioned merge for any number of versions per key, in any order of arrival.
 
@@ -160,6 +161,10 @@ def scd2_merge(
 
     Closed history stays closed: a batch version that starts inside a stored interval ends with it at the
     latest, and one that repeats its predecessor is dropped only while the predecessor is still in force.
+
+    The chain of a key with ``hot_rows`` rows or more is cut into ranges of start dates, within one day too; ranges are chained on their
+    own and pass values on at their edges. ``stage`` may store a frame under a name and return the stored copy: then the list of hot
+    keys is looked at first, without one the chains are plain windows, and with one no pass computes the passes before it again.
     """
     columns = target.columns
     touched = batch.select(key).distinct()
@@ -174,23 +179,20 @@ def scd2_merge(
         F.max("end_date").alias("_stored_end"),
     )
     versions = at_start.select(key, "start_date", "_origin", "_stored_end", *[f"_row.{c}" for c in body])
-    hot = hot_keys(pool.select(key), hot_rows)
-    versions = with_slots(versions, key, "start_date", hot)
-
-    stored_end = F.when(F.col("_origin") == 0, F.struct("_stored_end"))
-    versions = carried(versions, key, hot, "start_date", stored_end, "_around")
-    inherited = F.when(F.col("_around._stored_end") > F.col("start_date"), F.col("_around._stored_end"))
-    until = F.when(F.col("_origin") == 0, F.col("_stored_end")).otherwise(inherited)
-    versions = versions.withColumn("_until", until).drop("_around")
-
-    content = F.struct("_until", *tracked)
-    seen = neighbour(versions, key, hot, "start_date", content, "_before", ahead=False)
+    hot = hot_ranges(pool.select(key, "start_date"), hot_rows)
+    if stage is not None:
+        hot = stage(hot, "hot_keys")
+        hot = None if hot.isEmpty() else hot
+    step = stage if stage is not None and hot is not None else lambda df, name: df
+    versions = step(with_range_slots(versions, key, "start_date", hot), "versions")
+
+    linked = _linked(versions, key, tracked, hot)
     unchanged = reduce(
         lambda a, b: a & b, [F.col(f"_before.{c}").eqNullSafe(F.col(c)) for c in tracked]
     )
     reaches = F.col("_before._until").isNull() | (F.col("_before._until") > F.col("start_date"))
     redundant = (F.col("_origin") == 1) & F.col("_before").isNotNull() & unchanged & reaches
-    kept = seen.where(~redundant).drop("_before")
+    kept = step(linked.where(~redundant).drop("_before"), "kept")
 
     chained = neighbour(kept, key, hot, "start_date", F.col("start_date"), "_next", ahead=True)
     ended = chained.withColumn("end_date", F.least("_next", "_until"))
@@ -198,6 +200,43 @@ def scd2_merge(
     return untouched.select(*columns).unionByName(rebuilt.select(*columns))
 
 
+def _linked(versions: DataFrame, key: str, tracked: Sequence[str], hot: DataFrame | None) -> DataFrame:
+    """Adds ``_until``, the latest end a version can have, and ``_before``, that and the content of the version before it.
+
+    A stored version ends where it did; one of the batch at the latest with the stored interval it starts in. Both follow from what
+    came before in the range of a hot key, and from what the ranges before pass on: the last stored end, and their last version.
+    """
+    ordered = Window.partitionBy(key, SLOT).orderBy("start_date")
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    held = F.when(F.col("_origin") == 0, F.struct("_stored_end"))
+
+    def until(origin: Column, own: Column, around: Column, start: Column) -> Column:
+        return F.when(origin == 0, own).otherwise(F.when(around["_stored_end"] > start, around["_stored_end"]))
+
+    linked = versions.withColumn("_around", F.last(held, ignorenulls=True).over(earlier))
+    if hot is not None:
+        across = Window.partitionBy(key).orderBy(SLOT)
+        edges = (
+            only_hot(versions, key, hot)
+            .groupBy(key, SLOT)
+            .agg(
+                F.max_by(held, F.when(held.isNotNull(), F.col("start_date"))).alias("_held"),
+                F.max_by(F.struct("_origin", "start_date", *tracked), F.col("start_date")).alias("_last"),
+            )
+            .withColumn("_carried", F.last("_held", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1)))
+        )
+        last = F.col("_last")
+        its_end = until(last["_origin"], F.col("_held._stored_end"), F.coalesce("_held", "_carried"), last["start_date"])
+        passed = F.struct(its_end.alias("_until"), *[last[c].alias(c) for c in tracked])
+        edges = edges.select(key, SLOT, "_carried", F.lag(passed).over(across).alias("_passed"))
+        linked = linked.join(edges, [key, SLOT], "left").withColumn("_around", F.coalesce("_around", "_carried")).drop("_carried")
+    linked = linked.withColumn("_until", until(F.col("_origin"), F.col("_stored_end"), F.col("_around"), F.col("start_date"))).drop("_around")
+    before = F.lag(F.struct("_until", *tracked)).over(ordered)
+    if hot is None:
+        return linked.withColumn("_before", before)
+    return linked.withColumn("_before", before).withColumn("_before", F.coalesce("_before", "_passed")).drop("_passed")
+
+
 def new_rows(target: DataFrame, batch: DataFrame, key: str, active_only: bool = False) -> DataFrame:
     """Batch rows whose key has no (active) row in the target."""
     known = target.where(F.col("is_active")) if active_only else target

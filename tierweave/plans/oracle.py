@@ -285,6 +285,12 @@ FROM orders LEFT JOIN passengers ON id = o_custkey + 1 AND o_orderdate >= start_
   AND (end_date IS NULL OR o_orderdate < end_date)"""
 ORACLE["asof_passenger"] = _ASOF_ORDERS
 ORACLE["asof_passenger_hot"] = _ASOF_ORDERS
+ORACLE["asof_hot_day"] = f"""{_with(_PASSENGERS)}
+SELECT o_custkey + 1 AS passenger_id, sk_id AS passenger_sk_id, count(*) AS lines, max(TIMESTAMP '1998-01-01' + to_seconds(l_linenumber)) AS last_at
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+LEFT JOIN passengers ON id = o_custkey + 1 AND TIMESTAMP '1998-01-01' + to_seconds(l_linenumber) >= start_date
+  AND (end_date IS NULL OR TIMESTAMP '1998-01-01' + to_seconds(l_linenumber) < end_date)
+GROUP BY 1, 2"""
 ORACLE["asof_train"] = f"""{_with(_LINES, _TICKETS, _TRAINS)}
 SELECT ticket_id, CAST(route_sk_id + 1 AS INTEGER) AS train_id, departure_date, t.sk_id AS train_sk_id, t.name
 FROM tickets LEFT JOIN trains t ON t.id = route_sk_id + 1 AND departure_date >= start_date

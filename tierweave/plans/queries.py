@@ -287,6 +287,18 @@ def asof_passenger_hot(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def asof_hot_day(spark: SparkSession, folder: str) -> DataFrame:
+    """All line items as facts of one day, which every passenger's busy days hold many of: each is dealt out over parts."""
+    orders = b.table(spark, folder, "orders").select("o_orderkey", (F.col("o_custkey") + 1).alias("passenger_id"))
+    lines = b.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", F.make_dt_interval(secs=F.col("l_linenumber").cast("int")).alias("later"))
+    facts = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "l_orderkey", "l_linenumber", "passenger_id", (F.lit("1998-01-01").cast("timestamp") + F.col("later")).alias("at")
+    )
+    swept = dimensions.as_of_sweep(facts, b.passenger_versions(spark, folder), "passenger_id", "id", "at", {"sk_id": "passenger_sk_id"}, hot_rows=10)
+    return swept.groupBy("passenger_id", "passenger_sk_id").agg(F.count(F.lit(1)).alias("lines"), F.max("at").alias("last_at"))
+
+
 @query
 def asof_train(spark: SparkSession, folder: str) -> DataFrame:
     facts = b.tickets(spark, folder).select(
