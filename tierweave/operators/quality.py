@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -142,13 +142,17 @@ def evaluate(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
 
 
 def _row_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    return df.agg(*_sums(rules)).select(F.inline(F.array(*[_entry(r, i) for i, r in enumerate(rules)])))
+
+
+def _sums(rules: Sequence[Rule]) -> list[Column]:
     sums: list[Column] = [F.count(F.lit(1)).alias("checked")]
     for i, rule in enumerate(rules):
         met = F.coalesce(rule.good, F.lit(rule.null_passes))
         sums.append(F.count_if(~met).alias(f"bad_{i}"))
         if rule.measure is not None:
             sums.append(rule.measure.cast("double").alias(f"measure_{i}"))
-    return df.agg(*sums).select(F.inline(F.array(*[_entry(r, i) for i, r in enumerate(rules)])))
+    return sums
 
 
 def _entry(rule: Rule, i: int) -> Column:
@@ -188,6 +192,43 @@ def _line(rule: Rule, checked: Column, bad: Column, metric: Column, passed: Colu
     )
 
 
+# --- states that add up ------------------------------------------------------------------------------
+
+#: How measures of parts become the measure of the whole; rules without one only count.
+_COMBINED = {"min": min, "min_length": min, "max": max, "max_length": max, "size": lambda values: sum(values)}
+
+
+def by_parts(rules: Iterable[Rule]) -> list[Rule]:
+    """The rules whose outcome for a table follows from their outcomes for its parts: those over rows. Unique keys may meet across parts,
+    and how fresh rows are changes by itself."""
+    return [r for r in rules if not r.unique and r.kind != "fresh" and (r.measure is None or r.kind in _COMBINED)]
+
+
+def state_columns(rules: Iterable[Rule]) -> dict[str, Column]:
+    """Aggregates that hold all that ``report_of_states`` needs to know of a part, by name."""
+    rules = by_parts(rules)
+    names = [f"{kind}:{r.name}" for r in rules for kind in (["bad", "measure"] if r.measure is not None else ["bad"])]
+    return dict(zip(["checked", *names], _sums(rules)))
+
+
+def report_of_states(states: Iterable[Mapping[str, float | None]], rules: Iterable[Rule]) -> list[Row]:
+    """The report that ``evaluate`` would give for the rows of all parts, from their states alone."""
+    states, lines = list(states), []
+    checked = sum(int(s["checked"]) for s in states)
+    for rule in by_parts(rules):
+        bad = sum(int(s[f"bad:{rule.name}"]) for s in states)
+        if rule.measure is None:
+            metric = 1.0 - (bad / checked if checked else 0.0)
+            passed = metric > rule.least if rule.below else metric >= rule.least
+        else:
+            found = [s[f"measure:{rule.name}"] for s in states]
+            found = [m for m in found if m is not None]
+            metric = float(_COMBINED[rule.kind](found)) if found else None
+            passed = metric is not None and bad == 0
+        lines.append(Row(rule=rule.name, kind=rule.kind, level=rule.level, checked=checked, violations=bad, metric=metric, passed=passed))
+    return lines
+
+
 # --- rules over two tables ---------------------------------------------------------------------------
 
 

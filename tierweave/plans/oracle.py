@@ -783,23 +783,35 @@ ORACLE["dq_suite_tickets"] = _all(
     _size("silver"),
     head=_SILVER_WITH,
 )
+
+def _passenger_lines(source: str) -> list[str]:
+    return [
+        _share_line(source, "sk_id is complete", "complete", "false"),
+        *_complete(source, "id", "name", "start_date", "is_active"),
+        _share_line(source, "phone or email is complete", "any_complete", "phone IS NULL AND email IS NULL"),
+        _share_line(source, "gender in male, female, unknown", "contained", "gender NOT IN ('male', 'female', 'unknown')", "warning"),
+        _bound(source, "name has 3 or more characters", "min_length", "length(name)", "length(name) < 3", "warning"),
+        _bound(source, "name has 100 or fewer characters", "max_length", "length(name)", "length(name) > 100", "warning"),
+        _share_line(source, "email format", "matches", f"NOT regexp_matches(email, '{_EMAIL}')", "warning"),
+        _share_line(source, "phone format", "matches", "NOT regexp_matches(phone, '^[0-9]{10,12}$')", "warning"),
+        _bound(source, "min id > 0", "min", "id", "id <= 0"),
+        _holds(source, "range ends after it starts", "end_date IS NULL OR end_date >= start_date"),
+        _size(source),
+    ]
+
+
 ORACLE["dq_suite_passengers"] = _all(
-    _share_line("clean_passengers", "sk_id is complete", "complete", "false"),
-    *_complete("clean_passengers", "id", "name", "start_date", "is_active"),
-    _share_line("clean_passengers", "phone or email is complete", "any_complete", "phone IS NULL AND email IS NULL"),
+    *_passenger_lines("clean_passengers"),
     _unique_line("clean_passengers", "sk_id is unique", "unique", "id"),
-    _share_line(
-        "clean_passengers", "gender in male, female, unknown", "contained", "gender NOT IN ('male', 'female', 'unknown')", "warning"
-    ),
-    _bound("clean_passengers", "name has 3 or more characters", "min_length", "length(name)", "length(name) < 3", "warning"),
-    _bound("clean_passengers", "name has 100 or fewer characters", "max_length", "length(name)", "length(name) > 100", "warning"),
-    _share_line("clean_passengers", "email format", "matches", f"NOT regexp_matches(email, '{_EMAIL}')", "warning"),
-    _share_line("clean_passengers", "phone format", "matches", "NOT regexp_matches(phone, '^[0-9]{10,12}$')", "warning"),
-    _bound("clean_passengers", "min id > 0", "min", "id", "id <= 0"),
-    _holds("clean_passengers", "range ends after it starts", "end_date IS NULL OR end_date >= start_date"),
-    _size("clean_passengers"),
     head=_with(_CLEAN_PASSENGERS),
 )
+ORACLE["dq_table_states"] = f"""{_with(_CLEAN_PASSENGERS)},
+versions AS (
+  SELECT * REPLACE (id % 3 <> 0 AS is_active, CASE WHEN id % 3 = 0 THEN TIMESTAMP '1998-01-01' END AS end_date) FROM clean_passengers
+  UNION ALL
+  SELECT * REPLACE ('12' AS phone, TIMESTAMP '1998-01-01' AS start_date) FROM clean_passengers WHERE id % 3 = 0
+)
+""" + "\nUNION ALL ".join(_passenger_lines("versions"))
 _ROUTES = """routes AS (
   SELECT s_suppkey AS sk_id, s_suppkey + 1 AS id, s_nationkey AS sk_org_station_id, (s_nationkey + 1) % 25 AS sk_dest_station_id,
     s_suppkey % 5 AS sk_train_id, s_nationkey * 10 + 100 AS distance_km, s_nationkey * 6 + 60 AS duration_minutes,

@@ -818,6 +818,22 @@ def warehouse_revenue(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def dq_table_states(spark: SparkSession, folder: str) -> DataFrame:
+    """Passengers in two loads, checked for each bucket as it is written; the report of the table at the end, from what was kept."""
+    sources = b.sources(spark, folder)
+    again = F.lit(f"{b.SECOND_LOAD}T00:00:00Z")
+    moved = sources["passengers"].where(F.col("_id") % 3 == 0).withColumns({"phone": F.lit("12"), "created_at": again, "updated_at": again})
+    store = _scratch_store(spark)
+    warehouse = Warehouse(store, source_from({"passengers": sources["passengers"].unionByName(moved)}))
+    for window in (DateWindow(b.FIRST_LOAD, "1997-01-01"), DateWindow("1997-01-01", "1999-01-01")):
+        warehouse.run_table("bronze", "passengers", window)
+        warehouse.run_table("silver", "passengers", window)
+    report = warehouse.table_report("silver", "passengers")
+    store.drop()
+    return spark.createDataFrame(report, quality.REPORT)
+
+
 class _OtherSchema(Warehouse):
     """A transform that has come to give a column the declaration does not know."""
 

@@ -16,7 +16,7 @@ from dataclasses import asdict, dataclass, field
 from datetime import date
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -57,13 +57,18 @@ def pin_utc(spark: SparkSession) -> None:
 
 @dataclass(frozen=True)
 class Part:
-    """The files of one partition that one write made. ``days`` holds first day, last day and number of NULLs per indexed time column."""
+    """The files of one partition that one write made.
+
+    ``days`` holds first day, last day and number of NULLs per indexed time column, ``states`` the values of the aggregates that the
+    write was asked to keep.
+    """
 
     partition: str
     folder: str
     rows: int
     changed: int = 0
     days: Mapping[str, tuple[str | None, str | None, int]] = field(default_factory=dict)
+    states: Mapping[str, float | None] = field(default_factory=dict)
 
     def may_hold(self, column: str, days: Sequence[str | None]) -> bool:
         """Whether rows of these sorted days (None first, for NULL) can be in here."""
@@ -248,10 +253,10 @@ class TableStore:
     def truncate(self, spec: TableSpec) -> None:
         self.replace(spec, self.spark.createDataFrame([], StructType.fromDDL(spec.ddl)))
 
-    def write(self, spec: TableSpec, df: DataFrame) -> Written:
+    def write(self, spec: TableSpec, df: DataFrame, states: Mapping[str, Column] | None = None) -> Written:
         """Write a frame into a folder of its own, in the table's layout; no reader sees it before ``publish``.
 
-        A frame of a logged table may carry the log's columns.
+        A frame of a logged table may carry the log's columns. ``states`` are aggregates to keep for every written partition.
         """
         version = self.version(spec) + 1
         name = f"{version:08d}-{uuid4().hex[:8]}"
@@ -259,21 +264,22 @@ class TableStore:
         typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
         lay_out(typed, spec.layout).write.partitionBy(*partition_columns(spec.layout)).parquet(f"{self.path(spec)}/{WRITE}={name}")
         rows = self.read_parts(spec, [Part("", f"{WRITE}={name}", 0)], logged=CHANGED in df.columns)
-        return Written(name, version, self._parts(spec, name, rows), rows.select(*StructType.fromDDL(spec.ddl).fieldNames()))
+        return Written(name, version, self._parts(spec, name, rows, states or {}), rows.select(*StructType.fromDDL(spec.ddl).fieldNames()))
 
-    def _parts(self, spec: TableSpec, name: str, whole: DataFrame) -> tuple[Part, ...]:
-        """One row per written partition, by one aggregate over the indexed columns of the written files."""
+    def _parts(self, spec: TableSpec, name: str, whole: DataFrame, states: Mapping[str, Column]) -> tuple[Part, ...]:
+        """One row per written partition, by one aggregate over the written files."""
         logged = CHANGED in whole.columns
         names = partition_columns(spec.layout)
         sums = [F.count(F.lit(1)).alias("rows"), (F.count_if(CHANGED) if logged else F.lit(0)).alias("changed")]
         for c in spec.indexed:
             day = F.to_date(c)
             sums.append(F.struct(F.min(day).alias("first"), F.max(day).alias("last"), F.count_if(F.col(c).isNull()).alias("nulls")).alias(f"days_{c}"))
+        sums += [value.alias(f"state_{i}") for i, value in enumerate(states.values())]
         found = []
         for r in whole.groupBy(*names).agg(*sums).collect():
             partition = partition_folder(spec.layout, [r[n] for n in names])
             days = {c: (_iso(r[f"days_{c}"].first), _iso(r[f"days_{c}"].last), r[f"days_{c}"].nulls) for c in spec.indexed}
-            found.append(Part(partition, f"{WRITE}={name}/{partition}".rstrip("/"), r.rows, r.changed, days))
+            found.append(Part(partition, f"{WRITE}={name}/{partition}".rstrip("/"), r.rows, r.changed, days, {state: r[f"state_{i}"] for i, state in enumerate(states)}))
         return tuple(sorted((p for p in found if p.rows), key=lambda p: p.partition))
 
     # --- publishing ----------------------------------------------------------------------------------
