@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierweave.llm.common import small_batches, staged
-from tierweave.llm.vocabulary import BYTE_LEVEL, Remembering, balanced, byte_level_encoder, of_worker, tokenizer_path
+from tierweave.llm.vocabulary import BYTE_LEVEL, Remembering, balanced, byte_level_encoder, of_worker, tokenizer_path, whole_text_encoder
 
 SEQUENCE = 2048
 END_ID = 1
 MAX_SEGMENTS = 512
 #: Pieces that are packed together. A task holds some such blocks, however large the corpus is.
 BLOCK = 2048
+#: Blocks that a task packs one after the other, where there are more of them than shuffle partitions.
+BLOCKS_A_TASK = 32
 #: Characters of texts that are encoded together.
 GROUP_CHARS = 1 << 20
 _ID_BYTES = 4
@@ -31,16 +33,18 @@ def _cut(path: str, size: int, end_id: int):
     end = int(end_id).to_bytes(_ID_BYTES, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = of_worker(f"byte-level texts {path}", lambda: whole_text_encoder(path))
         ids_of = of_worker(f"byte-level ids {path}", lambda: Remembering(byte_level_encoder(path)))
         for batch in batches:
             out: list[tuple] = []
             doc_ids = iter(batch.column(0).to_pylist())
-            # The words of about a megabyte of texts are learned together.
+            # Texts are encoded whole; the words of those that cannot be, of about a megabyte of texts, are learned together.
             for group in balanced((t or "" for t in batch.column(1).to_pylist()), GROUP_CHARS):
-                split = [BYTE_LEVEL.findall(t) for t in group]
+                found = list(map(whole, group)) if whole else [None] * len(group)
+                split = [BYTE_LEVEL.findall(t) if ids is None else [] for t, ids in zip(group, found)]
                 known = ids_of.learn(w for words in split for w in words)
-                for words, doc_id in zip(split, doc_ids):
-                    ids = b"".join(map(known.__getitem__, words)) + end
+                for ids, words, doc_id in zip(found, split, doc_ids):
+                    ids = (b"".join(map(known.__getitem__, words)) if ids is None else ids) + end
                     total = len(ids) // _ID_BYTES
                     for start in range(0, total, size):
                         part = ids[start * _ID_BYTES : (start + size) * _ID_BYTES]
@@ -83,27 +87,29 @@ def dot_product_packing(demands: np.ndarray, limits: np.ndarray) -> tuple[np.nda
     at = np.concatenate(([0], ends[:-1]))
     share = kinds / limits
     weighted = share * (demands / limits).mean(axis=0)
-    current, placed = -1, 0
-    room = np.zeros_like(limits)
-    inside = 0
-    live = np.arange(len(kinds))
-    while placed < n:
-        # Kinds are sorted by tokens, so those with too many stand at the end.
-        fit = live[: np.searchsorted(kinds[live, 0], room[0], side="right")] if current >= 0 else live[:0]
-        fit = fit[(kinds[fit, 1:] <= room[1:]).all(axis=1)]
-        if not len(fit):
-            current, room, inside = current + 1, limits.copy(), 0
-            live = live[at[live] < ends[live]]
-            continue
-        best = fit[np.argmax(weighted[fit] @ (room / limits))]
+    # Kinds are sorted by tokens, so those that have too many stand behind; of the kinds before them, the most they ask of each limit.
+    tokens, most = kinds[:, 0], np.maximum.accumulate(kinds, axis=0)
+    spent = np.zeros(len(kinds))
+    current, inside, room = -1, 0, np.full_like(limits, -1)
+    for _ in range(n):
+        while True:
+            cut = int(np.searchsorted(tokens, room[0], side="right"))
+            if cut:
+                scores = weighted[:cut] @ (room / limits) + spent[:cut]
+                for limit in np.flatnonzero(most[cut - 1] > room):
+                    scores[kinds[:cut, limit] > room[limit]] = -np.inf
+                best = int(scores.argmax())
+                if scores[best] >= 0:
+                    break
+            current, inside, room = current + 1, 0, limits.copy()
         # Take the kind's items one by one; after each the room differs, so it is asked again.
         item = order[at[best]]
         at[best] += 1
         if at[best] == ends[best]:
-            live = live[live != best]
+            spent[best] = -np.inf
         bins[item], places[item] = current, inside
         room = room - kinds[best]
-        inside, placed = inside + 1, placed + 1
+        inside += 1
     return bins, places
 
 
@@ -128,14 +134,17 @@ def _packer(limits: tuple[int, ...], demand_cols: list[str]):
 
 
 def pack_pieces(pieces: DataFrame, size: int = SEQUENCE, max_segments: int = MAX_SEGMENTS, max_loss: int | None = None, loss_col: str | None = None, block: int = BLOCK) -> DataFrame:
-    """Adds sequence_id and offset to staged pieces; within a sequence, offsets are gapless from 0.
+    """Adds sequence_id and offset to staged pieces (token_pieces' columns and loss_col); within a sequence, offsets are gapless from 0.
 
     Limits: `size` tokens, `max_segments` pieces and, with loss_col, `max_loss` loss-bearing tokens. Pieces are dealt to blocks
-    of about `block` pieces by a hash of id and start, and each block is packed on its own: no task sees the corpus, and a
-    block leaves at most its last sequences unfilled. Repeated rows are placed one by one.
+    of about `block` pieces by a hash of their place among the staged rows, so pieces that share an id, or have none, spread like others;
+    each block is packed on its own: no task sees the corpus, and a block leaves at most its last sequences unfilled. Repeated rows are placed one by one.
     """
     blocks = max(1, -(-pieces.count() // block))
-    dealt = pieces.withColumn("block", F.pmod(F.xxhash64("doc_id", "start"), F.lit(blocks)))
+    dealt = pieces.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
+    # Packing is work for the processor, so its tasks follow the blocks and not the few bytes these have.
+    tasks = max(int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-blocks // BLOCKS_A_TASK))
+    dealt = dealt.repartition(min(tasks, blocks), "block")
     limits = (size, max_segments, *((max_loss if max_loss is not None else size,) if loss_col else ()))
     schema = ", ".join([PLACED_SCHEMA])
     return dealt.groupBy("block").applyInPandas(_packer(limits, [loss_col] if loss_col else []), schema)
@@ -152,11 +161,14 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def pack_conversations(turns: DataFrame, size: int = SEQUENCE, max_segments: int = 64, max_loss: int = 1536, bearing_role: str = "assistant", vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
-    """Instruction data (conv_id, turn, role, text): a turn is an example, and only the tokens of one role bear loss."""
-    small_batches(turns.sparkSession)
-    key = F.xxhash64("conv_id", "turn")
-    roles = turns.select(key.alias("doc_id"), (F.col("role") == bearing_role).alias("bears")).dropDuplicates(["doc_id"])
+    """Instruction data (conv_id, turn, role, text): a turn is an example, and only the tokens of one role bear loss.
+
+    doc_id is a hash of conversation and turn. Turns of that role are cut and counted apart from the others, so turns that share a
+    key, repeated ones and those without a key keep their own role. A null role bears no loss, a null text is one end id. An empty
+    table gives an empty result; other columns are never read. A piece holds at most `max_loss` tokens where that is less than `size`.
+    """
     most = min(size, max_loss)
-    pieces = token_pieces(turns.withColumn("_key", key), "_key", "text", most, vocabulary=vocabulary)
-    with_loss = pieces.join(roles, "doc_id").select(*pieces.columns, F.when(F.col("bears"), F.col("length")).otherwise(0).alias("loss"))
-    return pack_pieces(staged(with_loss), size, max_segments, max_loss, "loss")
+    keyed = turns.select(F.xxhash64("conv_id", "turn").alias("doc_id"), "text", F.coalesce(F.col("role") == bearing_role, F.lit(False)).alias("bears"))
+    bearing = token_pieces(keyed.where("bears"), "doc_id", "text", most, vocabulary=vocabulary).withColumn("loss", F.col("length"))
+    others = token_pieces(keyed.where("NOT bears"), "doc_id", "text", most, vocabulary=vocabulary).withColumn("loss", F.lit(0).cast("long"))
+    return pack_pieces(staged(bearing.unionByName(others)), size, max_segments, max_loss, "loss")

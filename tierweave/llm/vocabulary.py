@@ -18,6 +18,17 @@ BYTE_LEVEL = re.compile(f"[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+")
 #: Only U+0020 opens a piece; white space at the end stays with the last word.
 PIECES = re.compile(r" *[^ ]+(?: +\Z)?| +")
 
+#: Fixed value: the pattern by which byte-level vocabularies of this kind cut a text; no merge reaches across a cut.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_characters() -> list[str]:
+    """The character that stands for each byte in vocabulary entries: itself where it is printable, else the next one from U+0100 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    spare = iter(range(0x100, 0x200))
+    return [chr(b if b in printable else next(spare)) for b in range(256)]
+
+
 #: Different pieces that a Python worker remembers, about 200 bytes each: at most some 150 MB beside the JVM, whatever the corpus.
 REMEMBERED = 750_000
 
@@ -121,6 +132,42 @@ def byte_level_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     return encode
 
 
+def whole_text_encoder(path: str) -> Callable[[str], bytes | None] | None:
+    """Texts to the ids that the tokenizers library gives them, as little-endian unsigned 32-bit bytes, by the tiktoken library, which is faster.
+
+    Vocabulary and ranks are those of the same file; None if its ids do not follow the order of its merges, which tiktoken takes for granted.
+    A text is None, and to be encoded by words, if it holds the string of an added token, or a run without a cut so long that tiktoken's
+    merging, quadratic in a word's length, would show.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        given = json.load(file)
+    characters = {c: b for b, c in enumerate(byte_characters())}
+    vocabulary = given["model"]["vocab"]
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in given["model"]["merges"]]
+    if [vocabulary[m] for m in merged] != list(range(len(characters), len(characters) + len(merged))):
+        return None
+    ranks = {bytes(map(characters.__getitem__, token)): i for token, i in vocabulary.items()}
+    if len(ranks) != len(characters) + len(merged):
+        return None
+    encoding = tiktoken.Encoding("of file", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
+    added = [t["content"] for t in given["added_tokens"]]
+
+    def encode(text: str) -> bytes | None:
+        if any(a in text for a in added):
+            return None
+        words = text.split()
+        longest = max(map(len, words), default=0)
+        if longest > LONG_RUN or len(text) - sum(map(len, words)) - len(words) > LONG_RUN:
+            return None
+        return np.array(encoding.encode_ordinary(text), "<u4").tobytes()
+
+    return encode
+
+
+#: Characters of a run, of white space or without any, that is encoded with its text.
+LONG_RUN = 200
 #: Words that are encoded as one text.
 TOGETHER = 2_000
 
