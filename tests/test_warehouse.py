@@ -78,6 +78,8 @@ def test_folding_and_rebuilding_agree(spark, tmp_path):
             warehouse.run_table("silver", "tickets", window, check=False)
         made.append(rows(table(store, "silver", "tickets")))
     assert made[0] == made[1] and len(made[0]) == 4
+    first = table(store, "silver", "tickets").selectExpr("ticket_id", "string(first_created_at)", "string(created_at)")
+    assert rows(first)[1:3] == [("tkt-2", "2024-01-06 09:00:00", "2024-02-02 09:00:00"), ("tkt-3", "2024-01-07 09:00:00", "2024-02-03 09:00:00")]
 
 
 def test_two_months_through_all_layers(spark, store):

@@ -49,21 +49,25 @@ def changed_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], compa
 
 
 def fold_history(
-    target: DataFrame, batch: DataFrame, key: str, order: str, milestones: Sequence[str], log: Sequence[str] = ()
+    target: DataFrame,
+    batch: DataFrame,
+    key: str,
+    order: str,
+    milestones: Sequence[str],
+    log: Sequence[str] = (),
+    earliest: Sequence[str] = (),
 ) -> DataFrame:
     """Fold collapsed increments into the stored fact without reading the event history again.
 
     Latest row and milestone times are maxima, so combining the stored row with the increment gives what
     collapsing all events would: the later of the two rows, and the later of each milestone. An older
-    increment only adds milestones. ``log`` is that of ``upsert``.
+    increment only adds milestones. Columns that are ``earliest`` times are minima. ``log`` is that of ``upsert``.
     """
     paired = _pair(target, batch, [key])
     newer = F.coalesce(_new(order) >= _old(order), _new(order).isNotNull())
     take_new = _only_new() | (_both() & newer)
-    settled = {
-        c: F.greatest(_old(c), _new(c)) if c in milestones else F.when(take_new, _new(c)).otherwise(_old(c))
-        for c in target.columns
-    }
+    settled = {c: F.when(take_new, _new(c)).otherwise(_old(c)) for c in target.columns}
+    settled |= {c: F.greatest(_old(c), _new(c)) for c in milestones} | {c: F.least(_old(c), _new(c)) for c in earliest}
     return paired.select(*[v.alias(c) for c, v in settled.items()], *_log(settled, log))
 
 

@@ -301,7 +301,8 @@ _SILVER = f"""latest AS (
     SELECT *, row_number() OVER (PARTITION BY ticket_id ORDER BY created_at DESC, id DESC) AS rn,
       max(CASE WHEN status = 'paid' THEN created_at END) OVER (PARTITION BY ticket_id) AS paid_at,
       max(CASE WHEN status = 'cancelled' THEN created_at END) OVER (PARTITION BY ticket_id) AS cancelled_at,
-      max(CASE WHEN status = 'refunded' THEN created_at END) OVER (PARTITION BY ticket_id) AS refunded_at
+      max(CASE WHEN status = 'refunded' THEN created_at END) OVER (PARTITION BY ticket_id) AS refunded_at,
+      min(created_at) OVER (PARTITION BY ticket_id) AS first_created_at
     FROM events_clean
   ) WHERE rn = 1
 ),
@@ -309,7 +310,7 @@ silver AS (
   SELECT ticket_id, s_suppkey + 1000 AS route_sk_id, p.sk_id AS passenger_sk_id, t.sk_id AS train_sk_id,
     {_CLASS_ID} AS class_id, {_PAYMENT_ID} AS payment_id, {_STATUS_ID} AS active_status_id, day_of_week,
     booking_lead_days, departure_date, paid_at, cancelled_at, refunded_at, created_at, price, discount, final_price,
-    family_flag, has_child, has_promo, is_weekend
+    family_flag, has_child, has_promo, is_weekend, first_created_at
   FROM latest
   LEFT JOIN supplier ON s_suppkey + 1 = route_id
   LEFT JOIN trains t ON t.id = train_id AND departure_date >= t.start_date AND (t.end_date IS NULL OR departure_date < t.end_date)
