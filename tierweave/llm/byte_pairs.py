@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tierweave.llm.common import small_batches
-from tierweave.llm.vocabulary import BYTE_LEVEL, balanced, of_worker, tokenizer_path
+from tierweave.llm.vocabulary import BYTE_LEVEL, balanced, byte_characters, of_worker, tokenizer_path
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Characters of texts that are cut into words together.
@@ -28,13 +28,6 @@ REMEMBERED_WORDS = 500_000
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 
 
-def byte_characters() -> list[str]:
-    """The character that stands for each byte in vocabulary entries: itself where it is printable, else the next one from U+0100 on."""
-    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    spare = iter(range(0x100, 0x200))
-    return [chr(b if b in printable else next(spare)) for b in range(256)]
-
-
 #: What stands at a place whose symbol has gone into the one before it.
 GONE = -1
 
