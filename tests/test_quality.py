@@ -91,6 +91,8 @@ def test_two_table_rules(spark):
     dim = spark.createDataFrame([(1,), (1,), (3,)], "id INT")
     assert rows(q.resolves(facts, dim, "k", "id"), "checked", "violations", "passed") == [(3, 1, False)]
     assert rows(q.resolves(facts.where("k = 1"), dim, "k", "id"), "passed") == [(True,)]
+    both = q.resolves_each(facts.selectExpr("k", "CAST(NULL AS INT) AS none", "k + 1 AS next"), [("k", dim, "id"), ("none", dim, "id"), ("next", dim.where("false"), "id")])
+    assert rows(both, "rule", "checked", "violations", "metric", "passed") == [("k resolves to id", 3, 1, 1 - 1 / 3, False), ("next resolves to id", 3, 3, 0.0, False), ("none resolves to id", 0, 0, 1.0, True)]
     assert rows(q.same_size(facts, dim), "checked", "violations", "metric", "passed") == [(4, 1, 3.0, False)]
     assert rows(q.same_size(dim, dim), "passed") == [(True,)]
 

@@ -236,17 +236,26 @@ def resolves(
     facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, level: str = ERROR
 ) -> DataFrame:
     """Every non-NULL foreign key has a dimension row."""
-    rule = Rule(f"{fact_key} resolves to {dim_key}", "foreign_key", level)
-    known = dim.select(F.col(dim_key).alias("_key")).distinct().withColumn("_known", F.lit(True))
-    keys = facts.where(F.col(fact_key).isNotNull()).groupBy(F.col(fact_key).alias("_key")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    counted = keys.join(known, "_key", "left").agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("checked"),
-        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0)).alias("bad"),
-    )
-    met = F.lit(1.0) - F.coalesce(F.try_divide("bad", "checked"), F.lit(0.0))
-    return counted.select(F.inline(F.array(_line(rule, F.col("checked"), F.col("bad"), met, F.col("bad") == 0))))
+    return resolves_each(facts, [(fact_key, dim, dim_key)], level)
+
+
+def resolves_each(facts: DataFrame, references: Sequence[tuple[str, DataFrame, str]], level: str = ERROR) -> DataFrame:
+    """``resolves`` for several (column, dimension, key), in one pass over the facts. Keys are compared as text, counted
+    map-side, and only different ones are shuffled."""
+    entries = [F.struct(F.lit(i).alias("_nth"), F.col(c).cast("string").alias("_key")) for i, (c, _, _) in enumerate(references)]
+    keys = facts.select(F.inline(F.array(*entries))).where(F.col("_key").isNotNull()).groupBy("_nth", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    stored = [dim.select(F.lit(i).alias("_nth"), F.col(k).cast("string").alias("_key")) for i, (_, dim, k) in enumerate(references)]
+    known = reduce(DataFrame.unionByName, stored).distinct().withColumn("_known", F.lit(True))
+    sums, lines = [], []
+    for i, (column, _, key) in enumerate(references):
+        own = F.col("_nth") == i
+        sums.append(F.coalesce(F.sum(F.when(own, F.col("_n"))), F.lit(0)).alias(f"checked_{i}"))
+        sums.append(F.coalesce(F.sum(F.when(own & F.col("_known").isNull(), F.col("_n"))), F.lit(0)).alias(f"bad_{i}"))
+        rule = Rule(f"{column} resolves to {key}", "foreign_key", level)
+        bad = F.col(f"bad_{i}")
+        met = F.lit(1.0) - F.coalesce(F.try_divide(bad, f"checked_{i}"), F.lit(0.0))
+        lines.append(_line(rule, F.col(f"checked_{i}"), bad, met, bad == 0))
+    return keys.join(known, ["_nth", "_key"], "left").agg(*sums).select(F.inline(F.array(*lines)))
 
 
 def same_size(table: DataFrame, source: DataFrame, level: str = ERROR) -> DataFrame:

@@ -45,8 +45,10 @@ class PublishConflict(RuntimeError):
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir`` where the cluster sets it, else beside the warehouse."""
+    """Folder every executor can reach: the one that ``spark.checkpoint.dir`` names. In local mode, where it may be unset, one beside the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors reach")
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tierweave"
 
 
