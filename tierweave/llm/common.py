@@ -28,11 +28,13 @@ def small_batches(spark: SparkSession) -> None:
 def staged(df: DataFrame) -> DataFrame:
     """The frame computed once, in the folder that spark.checkpoint.dir names, with its lineage cut.
 
-    Only where no folder is set, as in tests, one beside the warehouse is taken.
+    In local mode, where none may be set, one beside the warehouse is taken; on a cluster that is an error.
     """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors reach")
         spark.sparkContext.setCheckpointDir(shared or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
     return df.checkpoint()
 
