@@ -287,3 +287,18 @@ def test_segmentations_decode(docs, empty):
     assert sorted(map(repr, got)) == sorted(map(repr, again))
     assert [(r.n_pieces, list(r.pieces)) for r in segmentation.sample_segmentations(docs.where("doc_id = 4")).collect()] == [(0, [])]
     assert segmentation.sample_segmentations(empty).count() == 0
+
+
+def test_segmentation_query_gives_the_pieces(spark, tmp_path):
+    import zlib
+
+    from tierweave.llm.queries import op2_gumbel_segmentations
+
+    spark.createDataFrame([(1, "the and in"), (2, None), (3, "naïve  ☃ text")], "doc_id BIGINT, text STRING").write.parquet(str(tmp_path / "documents.parquet"))
+    got = op2_gumbel_segmentations(spark, str(tmp_path)).collect()
+    vocabulary = segmentation.Vocabulary(tokenizer_path("piece_bpe_32k.model"))
+    texts = {1: "the and in", 2: "", 3: "naïve  ☃ text"}
+    assert {r.doc_id for r in got} == set(texts) and all(r.decodes for r in got)
+    for r in got:
+        assert segmentation.decode(r.pieces, vocabulary.pieces) == texts[r.doc_id] and len(r.pieces) == r.n_pieces
+        assert r.pieces_crc32 == zlib.crc32(np.array(r.pieces, "<u4").tobytes())
