@@ -74,7 +74,11 @@ def fingerprint(text: str | None) -> int:
     if not words:
         return 0
     shingles = [b" ".join(words)] if len(words) < SHINGLE else map(b" ".join, zip(words, words[1:], words[2:]))
-    hashes = np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in shingles), np.uint64)
+    return majority(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in shingles), np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of 64-bit hashes: each bit as in over half of them."""
     total = np.zeros(64, np.int64)
     for k in range(0, len(hashes), _SUMMED):
         part = hashes[k : k + _SUMMED]
