@@ -1,6 +1,7 @@
 """Operators with an exact answer, against plain Python on small hostile tables."""
 
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -302,3 +303,59 @@ def test_segmentation_query_gives_the_pieces(spark, tmp_path):
     for r in got:
         assert segmentation.decode(r.pieces, vocabulary.pieces) == texts[r.doc_id] and len(r.pieces) == r.n_pieces
         assert r.pieces_crc32 == zlib.crc32(np.array(r.pieces, "<u4").tobytes())
+
+
+def test_segmentation_work_is_by_batch():
+    """Python calls follow the texts, not their pieces, also where bytes are spelled and decoded (they came to more than one a piece)."""
+    import pyarrow as pa
+
+    path = tokenizer_path("piece_bpe_32k.model")
+    texts = ["the and in\nfor\tone ☃ of them, " * 1_000, "", None, "  ", "a\n b" * 3_000]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5), pa.int64()), pa.array(texts), pa.array(range(5), pa.int64())], ["doc_id", "text", "seed"])
+    calls = Counter()
+    samples = segmentation._samples(path, 2, 1.0, True, True)
+    list(samples(iter([batch])))  # the vocabulary is made once a worker
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        found = list(samples(iter([batch])))
+    finally:
+        sys.setprofile(None)
+    got = [row for out in found for row in out.to_pylist()]
+    vocabulary, seen = segmentation.Vocabulary(path), set()
+    for r in got:
+        text = texts[r["doc_id"]] or ""
+        assert r["decodes"] and segmentation.decode(r["pieces"], vocabulary.pieces) == text and r["n_pieces"] == len(r["pieces"])
+        assert r["pieces_crc32"] == zlib.crc32(np.array(r["pieces"], "<u4").tobytes())
+        seen.add(tuple(r["pieces"]))
+    assert len(seen) == len(got) - 1 and [r["doc_id"] for r in got].count(1) == 1  # both texts without characters have the empty path
+    pieces = sum(r["n_pieces"] for r in got)
+    assert pieces > 20_000 and calls["call"] + calls["c_call"] < pieces / 4
+
+
+def test_segmentation_words_and_numbers_match_plain_forms():
+    words = re.compile("▁*[^▁]+(?:▁+\\Z)?|▁+")
+    rng = np.random.default_rng(1)
+    texts = ["".join(rng.choice(list("ab \n▁é\U0001f600"), n)) for n in rng.integers(0, 12, 2_000)] + ["", " ", "   ", "▁", " a", "a  ", "\ud800 x"]
+    counts, which, joined, lengths = segmentation.different_words(texts)
+    ends = np.cumsum([0, *lengths])
+    found = [joined[i:j] for i, j in zip(ends, ends[1:])]
+    bounds = np.cumsum([0, *counts])
+    for t, i, j in zip(texts, bounds, bounds[1:]):
+        assert [found[w] for w in which[i:j]] == (words.findall("▁" + t.replace(" ", "▁")) if t else [])
+    assert len(set(found)) == len(found) and segmentation.different_words([])[0].tolist() == segmentation.different_words([""])[1].tolist() == []
+    assert segmentation.sample_batch([], np.zeros(0, np.uint64), segmentation.Vocabulary(tokenizer_path("piece_bpe_32k.model")), 2) == []
+    seeds, counters = rng.integers(0, 2**64, 200, dtype=np.uint64), rng.integers(0, 2**32, 200, dtype=np.uint64)
+    assert segmentation.uniforms(seeds, counters).tolist() == [segmentation.uniform(int(s), int(c)) for s, c in zip(seeds, counters)]
+
+
+def test_segmentation_trie_steps_match_entries():
+    vocabulary = segmentation.Vocabulary(tokenizer_path("piece_bpe_32k.model"))
+    heads = {p[:k] for p in vocabulary.ids for k in range(1, len(p) + 1)}
+    for word in [*list(vocabulary.ids)[::97], "▁thex", "☃☃", "▁\U0010ffff", "日本"]:
+        node = np.zeros(1, np.int64)
+        for k, c in enumerate(word):
+            node = vocabulary.follow(node, np.array([ord(c)]))
+            assert (node[0] > 0) == (word[: k + 1] in heads)
+            if not node[0]:
+                break
+            assert vocabulary.entry[node[0]] == vocabulary.ids.get(word[: k + 1], -1)
