@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tierweave.operators import merge, quality
 from tierweave.plans import bindings, tickets
 from tierweave.plans.queries import QUERIES
-from tierweave.plans.tables import SPECS
+from tierweave.plans.tables import RUN_ORDER, SPECS
 from tierweave.plans.warehouse import Warehouse, source_from
 from tierweave.sources.incremental import DateWindow
 from tierweave.sources.store import TableStore
@@ -59,3 +59,10 @@ def test_a_load_counts_its_source_once(spark, tmp_path, monkeypatch):
     assert [(r.checked, r.violations, r.passed) for r in report if r.kind == "row_count"] == [(3, 0, True)]
     assert passes.value == 6  # one count, one write
     assert quality.same_count(spark, 2, 3).first()["passed"] is False
+
+
+def test_the_warehouse_query_runs_every_table_of_every_layer(spark, monkeypatch):
+    ran = []
+    monkeypatch.setattr(Warehouse, "run_table", lambda self, layer, name, window, check=True: ran.append((layer, name, check)))
+    QUERIES["warehouse_revenue"](spark, SMALL)
+    assert ran == [(layer, name, True) for layer in ("bronze", "silver", "gold") for name in RUN_ORDER[layer]]
