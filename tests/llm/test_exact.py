@@ -303,6 +303,7 @@ def test_segmentation_query_gives_the_pieces(spark, tmp_path):
     for r in got:
         assert segmentation.decode(r.pieces, vocabulary.pieces) == texts[r.doc_id] and len(r.pieces) == r.n_pieces
         assert r.pieces_crc32 == zlib.crc32(np.array(r.pieces, "<u4").tobytes())
+        assert r.decoded == texts[r.doc_id]
 
 
 def test_segmentation_work_is_by_batch():
