@@ -76,6 +76,28 @@ def test_a_large_group_of_near_copies_is_one_component(spark, paired, gathered):
     assert all(truth[i] == truth[c] for i, c in got.items()) and sum(got[i] == truth[i] for i in got) >= 0.9 * len(got)
 
 
+def test_no_link_of_a_large_group_is_lost(spark, monkeypatch):
+    """Pairs of near copies that share a key with many texts unlike them: leaders, one a round, find few of them."""
+    rng, rows = np.random.default_rng(11), []
+    for i in range(40):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 60 + 2 * i)]
+        rows += [(2 * i + 1, " ".join(words)), (2 * i + 2, " ".join([*words, "end"]))]
+    marked = near_text._marked
+
+    def one_key(batches):
+        for b in marked(batches):
+            keys = near_text.pa.array([[0]] * b.num_rows, near_text.pa.list_(near_text.pa.int64()))
+            prints = near_text.pa.array([n & ~0xFF for n in b.column("node").to_pylist()], near_text.pa.int64())
+            b = b.set_column(b.schema.get_field_index("keys"), "keys", keys)
+            yield b.set_column(b.schema.get_field_index("print"), "print", prints)
+
+    monkeypatch.setattr(near_text, "_marked", one_key)
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    for block in (5, 1024):
+        got = {r.doc_id: r.component_id for r in near_text.near_copies(docs, paired=1, gathered=1, block=block).collect()}
+        assert got == {i: (i - 1) // 2 * 2 + 1 for i, _ in rows}
+
+
 def test_odd_texts(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "one two"), (5, "One  TWO"), (6, "two one"), (None, "one two"), (None, "lost"), (4, "one two")]
     docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
