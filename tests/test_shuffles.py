@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from tierweave.operators import merge, quality
+from tierweave.operators import dimensions, merge, quality
 from tierweave.plans import bindings, tickets
 from tierweave.plans.queries import QUERIES
 from tierweave.plans.tables import RUN_ORDER, SPECS
@@ -66,3 +66,26 @@ def test_the_warehouse_query_runs_every_table_of_every_layer(spark, monkeypatch)
     monkeypatch.setattr(Warehouse, "run_table", lambda self, layer, name, window, check=True: ran.append((layer, name, check)))
     QUERIES["warehouse_revenue"](spark, SMALL)
     assert ran == [(layer, name, True) for layer in ("bronze", "silver", "gold") for name in RUN_ORDER[layer]]
+
+
+def test_collapse_and_sweep_shuffle_nothing_twice(spark, monkeypatch):
+    seen, plain = [], tickets.collapse_history
+    monkeypatch.setattr(tickets, "collapse_history", lambda *a, **b: seen.append(plain(*a, **b)) or seen[-1])
+    text = plan(tickets.ticket_fact(bindings.ticket_events(spark, SMALL), bindings.fact_dims(spark, SMALL)))
+    # The tie is not carried beside the order, and the status goes as its id.
+    assert not {"status", "id"} & set(seen[0].columns)
+    # The passenger and the departure go as the key and the time of the sweep alone.
+    row = re.search(r"struct\(([^()]*)\) AS _fact", text).group(1)
+    assert "ticket_id" in row and "passenger_id" not in row and "departure_date" not in row
+
+
+def test_sweep_gives_key_and_time_back(spark):
+    day = "TIMESTAMP '2024-01-02'"
+    facts = spark.sql(f"SELECT * FROM VALUES (1, 7, {day}), (2, 7, NULL), (3, NULL, {day}), (4, 8, {day}), (5, 7, TIMESTAMP '2023-01-01') AS t(f, k, at)")
+    versions = spark.sql("SELECT * FROM VALUES (70L, 7L, TIMESTAMP '2024-01-01', CAST(NULL AS TIMESTAMP)) AS v(sk_id, id, start_date, end_date)")
+    for given in (facts, facts.withColumn("at", F.col("at").cast("timestamp_ntz")), facts.drop("f")):
+        for hot_rows in (1, 100):
+            swept = dimensions.as_of_sweep(given, versions, "k", "id", "at", {"sk_id": "sk"}, hot_rows)
+            joined = dimensions.as_of_join(given, versions, "k", "id", "at", {"sk_id": "sk"})
+            assert swept.schema.simpleString() == joined.schema.simpleString()
+            assert sorted(map(repr, swept.collect())) == sorted(map(repr, joined.collect()))
